@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lexloom.operators.ranked import ranked
 from lexloom.schemas import BRONZE_SCHEMA
+from lexloom.sources.scratch import materialize
 
 # Above this many rows "the first n" is cut by rank over the key column alone
 # instead of a top-n of whole rows, which one task would have to hold.
@@ -41,17 +42,25 @@ def register_views(spark: SparkSession, folder: str, names: list[str]) -> None:
         read_table(spark, folder, name).createOrReplaceTempView(name)
 
 
-def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first ``n`` rows in key order; the key must be unique."""
+def first_by_key(df: DataFrame, key: str, n: int, digest_of: str = "text") -> DataFrame:
+    """The first ``n`` rows in the order of ``key``, then the digest of the text."""
     if n < 0:
         raise ValueError("n must not be negative")
+    order = [key, "__digest"]
+    keyed = df.withColumn("__digest", F.md5(digest_of))
     if n <= TOP_N_ROWS:
-        return df.orderBy(key).limit(n)
-    # The key column alone is ranked; only the n-th key travels, so the wide
-    # rows are filtered in place and never sorted.
-    positions = ranked(df.select(key), order_by=[key], row_number="__position")
-    last_key = positions.filter(F.col("__position") == n).agg(F.max(key)).scalar()
-    return df.filter(F.coalesce(F.col(key) <= last_key, F.lit(True)))
+        return keyed.orderBy(*order).limit(n).drop("__digest")
+    # Only keys are ranked; wide rows are then filtered in place against the
+    # n-th key and never sorted.
+    keys = materialize(keyed.select(*order), "subset-keys")
+    numbered = ranked(keys, order_by=order, row_number="n", rank="rank")
+    last = numbered.filter(F.col("n") == n).first()
+    if last is None:
+        return df
+    at_or_before = F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order])
+    at = F.struct(*order) == F.struct(*[F.lit(last[c]).alias(c) for c in order])
+    earlier = keyed.filter(at_or_before & ~at)
+    return earlier.unionByName(keyed.filter(at).limit(n - last["rank"] + 1)).drop("__digest")
 
 
 def read_corpus(

@@ -20,11 +20,11 @@ def clean_body(column: Column | str) -> Column:
     """Drop the journal header and squeeze white space.
 
     Horizontal runs become one space and three or more line breaks become two,
-    so paragraph breaks stay.  The patterns match only runs that change: a lone
-    space between two words, the usual case, costs no replacement.
+    so paragraph breaks stay.  The ends are trimmed without a pattern, which
+    would try every run of white space inside the text as well.
     """
     body = F.regexp_replace(column, JOURNAL_HEADER_PATTERN, "")
-    body = F.regexp_replace(body, r"\t[ \t]*| [ \t]+", " ")
+    body = F.regexp_replace(body, r"[ \t]+", " ")
     body = F.regexp_replace(body, r"\n{3,}", "\n\n")
     return trim_whitespace(body)
 

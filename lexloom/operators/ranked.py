@@ -30,7 +30,7 @@ from lexloom.session import shuffle_width
 
 RANGES_PER_TASK = 4  # several ranges per shuffle partition even out hashing
 SAMPLES_PER_RANGE = 16
-DIRECT_ROWS = 500_000  # up to this many rows, a plain window in one task is fine
+DIRECT_ROWS = 500_000  # groups up to this many rows are windowed in one task
 
 
 @dataclass(frozen=True)
@@ -182,15 +182,15 @@ def ranked(
     compare ``order_by`` only; everything else also uses ``tie_break``, which
     together with ``order_by`` must identify a row within its group.
 
-    The input is counted first and windowed directly when it has at most
-    ``direct_rows`` rows.  It is read up to three more times otherwise, so pass a
-    stored table (for which the count only reads footers) rather than the
-    output of a join.
+    Group sizes are checked first, and a plain window is used when no group has
+    more than ``direct_rows`` rows.  The input is read several times for that and
+    for the ranges, so pass a stored table (for which a count only reads
+    footers) rather than the output of a join.
     """
     ntile, lag, lead = ntile or {}, lag or {}, lead or {}
     added = [n for n in (row_number, rank, dense_rank, *ntile, *lag, *lead) if n]
     output = [*df.columns, *added]
-    ranges = _Ranges(df, partition_by, order_by, tie_break) if df.count() > direct_rows else None
+    ranges = _Ranges(df, partition_by, order_by, tie_break) if _has_group_above(df, partition_by, direct_rows) else None
     split = ranges is not None and bool(ranges.cuts)
 
     frame = ranges.assign(df) if split else df
@@ -241,6 +241,14 @@ def ranked(
     return result.withColumns(columns).select(*output)
 
 
+def _has_group_above(df: DataFrame, partition_by: Sequence[str], rows: int) -> bool:
+    total = df.count()
+    if total <= rows or not partition_by:
+        return total > rows
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
+    return not sizes.filter(F.col("n") > rows).isEmpty()
+
+
 def _before_each_range(
     frame: DataFrame,
     ranges: _Ranges,

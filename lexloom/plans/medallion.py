@@ -10,7 +10,7 @@ from lexloom.functions.text import with_clean_text
 from lexloom.operators.groups import one_row_per_key
 from lexloom.plans.quality import assert_silver_quality
 from lexloom.schemas import GOLD_DOCUMENTS_SCHEMA, SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
-from lexloom.sources.readers import read_corpus, read_parquet
+from lexloom.sources.readers import read_corpus, read_parquet, spread
 from lexloom.sources.writers import overwrite, overwrite_compact, overwrite_partitioned, stored_rows
 
 
@@ -43,7 +43,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, st
 
     ``strict`` gates what was stored and raises ``DataQualityError``.
     """
-    silver = to_silver(read_parquet(spark, bronze_path))
+    silver = to_silver(spread(read_parquet(spark, bronze_path)))
     overwrite_partitioned(silver, silver_path, SILVER_PARTITION_COLUMNS)
     if strict:
         assert_silver_quality(read_silver(spark, silver_path))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexloom.operators.bridges import bridge
 from lexloom.plans.medallion import to_silver
 from lexloom.schemas import DOC_TYPE_LABELS, JOURNAL_HEADER_PATTERN, OTHER_LABEL, SECTOR_LABELS
-from lexloom.sources.readers import read_table
+from lexloom.sources.readers import read_table, spread
 
 HEADER = "1.7.2014 EN Official Journal of the European Union L 192/42\n"
 
@@ -49,7 +49,7 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     celex_id = F.concat(F.lit("3"), (1951 + n % 70).cast("string"), letter, n.cast("string"))
     body = F.replace(F.replace("text", F.lit(".\n"), F.lit(".\n\n\n\n")), F.lit(". "), F.lit(".  \t"))
     lines = F.split("text", "\n")
-    return read_table(spark, folder, "documents").select(
+    return spread(read_table(spark, folder, "documents")).select(
         "doc_id",
         F.when(F.col("source") == "src7", F.concat(F.lit("BAD"), F.col("doc_id").cast("string")))
         .otherwise(celex_id)

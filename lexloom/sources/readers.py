@@ -31,6 +31,17 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give text work on a small input all cores.
+
+    Spark plans at least one split per core for a small input, but a row group
+    goes to one task, so most of those splits come up empty.  Such an input is
+    exchanged once; one that has more splits than cores stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """CSV with a header line and an explicit schema (no inference pass)."""
     return spark.read.option("header", True).option("dateFormat", date_format).schema(schema).csv(path)

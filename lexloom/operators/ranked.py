@@ -30,6 +30,7 @@ from lexloom.session import shuffle_width
 
 RANGES_PER_TASK = 4  # several ranges per shuffle partition even out hashing
 SAMPLES_PER_RANGE = 16
+MAX_RANGES = 8192  # bounds the sample and the literal in the plan, not the input
 DIRECT_ROWS = 500_000  # groups up to this many rows are windowed in one task
 
 
@@ -97,7 +98,7 @@ class _Ranges:
         self.group_names, self.order_names, self.tie_names = list(group), list(ordered), list(tie)
         self.cuts: list[tuple] = []
         self.runs: list[int] = [0]
-        wanted = RANGES_PER_TASK * shuffle_width(df.sparkSession)
+        wanted = min(RANGES_PER_TASK * shuffle_width(df.sparkSession), MAX_RANGES)
         size = SAMPLES_PER_RANGE * wanted
         keys = df.select(*[c.alias(n) for n, c in self.columns.items()])
         # The rows with the smallest key hashes: an even sample that every run repeats.
@@ -149,9 +150,12 @@ class _Ranges:
         """Rows of the groups that a cut point falls into, the only ones that can span ranges."""
         if not self.group_names:
             return keyed
-        groups = list({cut[: len(self.group_names)] for cut in self.cuts})  # at most one per cut
-        types = ", ".join(f"c{name} {keyed.schema[name].dataType.simpleString()}" for name in self.group_names)
-        cut_groups = F.broadcast(keyed.sparkSession.createDataFrame(groups, types))
+        names = [f"c{name}" for name in self.group_names]
+        groups = dict.fromkeys(cut[: len(names)] for cut in self.cuts)  # at most one per cut
+        text = json.dumps([dict(zip(names, group)) for group in groups], default=str)
+        types = ",".join(f"c{name}:{keyed.schema[name].dataType.simpleString()}" for name in self.group_names)
+        literal = F.from_json(F.lit(text), f"array<struct<{types}>>")
+        cut_groups = F.broadcast(keyed.sparkSession.range(1).select(F.inline(literal)))
         same = [keyed[name].eqNullSafe(cut_groups[f"c{name}"]) for name in self.group_names]
         return keyed.join(cut_groups, same, "left_semi")
 

@@ -11,6 +11,10 @@ from lexloom.operators.ranked import ranked
 from lexloom.sources.scratch import materialize
 
 
+# Repeated keys up to this many are sent to every task (tens of megabytes).
+BROADCAST_KEYS = 500_000
+
+
 def with_group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Aggregates of each row's group, on every row (``agg OVER (PARTITION BY by)``).
 
@@ -42,15 +46,20 @@ def first_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[Column]
 def one_row_per_key(df: DataFrame, key: str, order_by: Sequence[Column]) -> DataFrame:
     """Deterministic duplicate removal on wide rows.
 
-    Only the key column is shuffled to find the duplicated keys.  Rows with a
-    unique key pass through unmoved; the rest are reduced to the first row in
-    ``order_by`` order.  NULL is a key like any other.
+    Only the key column is shuffled to find the repeated keys.  While they are
+    few, rows with a unique key pass through unmoved and the rest are reduced
+    to the first row in ``order_by`` order.  Where many keys repeat, most rows
+    would move anyway and all of them go through that reduction, in one shuffle.
+    NULL is a key like any other.
     """
     repeated = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key")
     repeated = materialize(repeated, "repeated-keys")
-    same = df[key].eqNullSafe(repeated["__key"])
-    unique = df.join(repeated, same, "left_anti")
-    return unique.unionByName(first_per_group(df.join(repeated, same, "left_semi"), [key], order_by))
+    if repeated.count() > BROADCAST_KEYS:
+        return first_per_group(df, [key], order_by)
+    few = F.broadcast(repeated)
+    same = df[key].eqNullSafe(few["__key"])
+    unique = df.join(few, same, "left_anti")
+    return unique.unionByName(first_per_group(df.join(few, same, "left_semi"), [key], order_by))
 
 
 def collected(pairs: DataFrame, key: str, element: str, size: int = 1000) -> DataFrame:

@@ -179,8 +179,9 @@ def fanout_inflated_sub(spark, folder):
 )
 def fanout_distinct(spark, folder):
     linked = read_table(spark, folder, "lineitem").select("l_orderkey").distinct()
-    once = orders(spark, folder).select("o_orderkey", "o_totalprice").distinct()
-    once = once.join(linked, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    priced = orders(spark, folder).select("o_orderkey", "o_totalprice")
+    # A semi join repeats nothing; distinct reuses its partitioning.
+    once = priced.join(linked, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").distinct()
     return once.agg(F.count_distinct("o_orderkey").alias("docs"), total("o_totalprice").alias("total"))
 
 

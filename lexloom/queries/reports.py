@@ -107,8 +107,9 @@ def topic_ranking(spark, folder):
 def top1_per_group(spark, folder):
     dated = orders(spark, folder).select("o_orderkey", order_day().alias("published"))
     newest = [F.desc("published"), F.col("o_orderkey")]
-    # The newest of a topic is the newest of its parts' newest.
-    per_part = first_per_group(_bridge(spark, folder).join(dated, "o_orderkey"), ["l_partkey"], newest)
+    # The newest of a topic is the newest of its parts' newest; repeated links
+    # change nothing, so they need no shuffle of their own.
+    links = read_table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    per_part = first_per_group(links.join(dated, "o_orderkey"), ["l_partkey"], newest)
     joined = per_part.join(_parts(spark, folder, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    joined = joined.select("p_brand", "o_orderkey", "published").distinct()
-    return first_per_group(joined, ["p_brand"], newest)
+    return first_per_group(joined.select("p_brand", "o_orderkey", "published"), ["p_brand"], newest)

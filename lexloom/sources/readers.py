@@ -32,7 +32,7 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give text work on a small input all cores.
+    """Give text work on a small stored table (a plain scan) all cores.
 
     Spark plans at least one split per core for a small input, but a row group
     goes to one task, so most of those splits come up empty.  Such an input is
@@ -58,9 +58,13 @@ def first_by_key(df: DataFrame, key: str, n: int, digest_of: str = "text") -> Da
     if n < 0:
         raise ValueError("n must not be negative")
     order = [key, "__digest"]
-    keyed = df.withColumn("__digest", F.md5(digest_of))
     if n <= TOP_N_ROWS:
-        return keyed.orderBy(*order).limit(n).drop("__digest")
+        # The n smallest keys first, from the key column alone: the bound they
+        # give reaches the scan, so few texts are read and digested.
+        bound = df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+        candidates = df.filter((F.col(key) <= F.lit(bound)) | F.col(key).isNull())
+        return candidates.withColumn("__digest", F.md5(digest_of)).orderBy(*order).limit(n).drop("__digest")
+    keyed = df.withColumn("__digest", F.md5(digest_of))
     # Only keys are ranked; wide rows are then filtered in place against the
     # n-th key and never sorted.
     keys = materialize(keyed.select(*order), "subset-keys")

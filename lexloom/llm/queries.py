@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.bpe import bpe_decode, bpe_encode
+from lexloom.llm.decontaminate import find_benchmark_text
 from lexloom.llm.repair import read_token_shards, write_token_shards
+from lexloom.llm.urlrules import Rule, judge_urls
+from lexloom.llm.vectors import near_vectors
+from lexloom.llm.warc import read_archives, resolve_revisits, write_archives
 from lexloom.queries.registry import Query
 from lexloom.sources.readers import read_table
 
@@ -34,17 +38,53 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(read_table(spark, folder, "embeddings"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(read_table(spark, folder, "documents"), byte_vocabulary()).drop("ids")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = resolve_revisits(write_archives(read_table(spark, folder, "pages")))
+    return read_archives(archives).select(
+        F.col("row_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(read_table(spark, folder, "pages"), URL_RULES)
+
+
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_benchmark_text(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     rows = read_token_shards(write_token_shards(read_table(spark, folder, "documents"), byte_vocabulary(), END_ID))
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_bpe": op2_bpe,
+    "op3_warc": op3_warc,
+    "op7_url_rules": op7_url_rules,
+    "op9_decontaminate": op9_decontaminate,
     "op10_token_shards": op10_token_shards,
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.bpe import bpe_decode, bpe_encode
 from lexloom.llm.decontaminate import find_benchmark_text
+from lexloom.llm.ngramjoin import ngram_jaccard_join
 from lexloom.llm.repair import read_token_shards, write_token_shards
 from lexloom.llm.urlrules import Rule, judge_urls
 from lexloom.llm.vectors import near_vectors
@@ -53,6 +54,10 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard_join(read_table(spark, folder, "documents"))
+
+
 URL_RULES = [
     Rule("allow", "org", "/"),
     Rule("block", "example.org", "/es/"),
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
+    "op5_ngram_join": op5_ngram_join,
     "op7_url_rules": op7_url_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_shards": op10_token_shards,

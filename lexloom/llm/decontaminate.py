@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.labelled import rows_with_text
+
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
 
@@ -115,26 +117,24 @@ def find_benchmark_text(
     item_column: str = "item_id",
     item_text_column: str = "text",
     window: int = WINDOW,
-    keep: tuple[str, ...] = (),
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(id, n_words, n_hit, items, spans) of every text; spans are character ranges of the original.
+    """(row, n_words, n_hit, items, spans) of every text; spans are character ranges of the original.
 
-    Columns named in ``keep`` are passed through unchanged, in a struct ``kept``.
+    ``row`` is a struct of the columns ``keep`` of ``docs``, by default the id alone.
     """
     spark = docs.sparkSession
     blocks = list(pattern_blocks(benchmark, item_column, item_text_column, window))
     shared = [spark.sparkContext.broadcast(b) for b in blocks]  # each at most about BLOCK_BYTES
-    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.struct(F.lit(None).cast("int").alias("none"))
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), kept.alias("kept"))
+    rows, text_of = rows_with_text(docs, [id_column] if keep is None else keep, text_column)
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     out = T.StructType(
         [
-            T.StructField("id", rows.schema["id"].dataType),
+            rows.schema["row"],
             T.StructField("n_words", T.LongType()),
             T.StructField("n_hit", T.LongType()),
             T.StructField("items", T.ArrayType(T.StringType())),
             T.StructField("spans", T.ArrayType(span)),
-            T.StructField("kept", rows.schema["kept"].dataType),
         ]
     )
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -145,7 +145,7 @@ def find_benchmark_text(
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 n_words, n_hit, items, spans = [], [], [], []
-                for text in some.column(1).to_pylist():
+                for text in text_of(some).to_pylist():
                     n, hit, names = scan(text, built[0])
                     for more in built[1:]:
                         _, others, other_names = scan(text, more)
@@ -154,8 +154,7 @@ def find_benchmark_text(
                     n_hit.append(len(hit))
                     items.append(sorted(names))
                     spans.append([{"start": a, "end": b} for a, b in spans_of(text, hit)] if hit else [])
-                columns = [some.column(0), pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, span_type), some.column(2)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_hit", "items", "spans", "kept"])
+                columns = [some.column(0), pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, span_type)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_hit", "items", "spans"])
 
-    found = rows.mapInArrow(find, out).withColumnRenamed("id", id_column)
-    return found if keep else found.drop("kept")
+    return rows.mapInArrow(find, out)

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.bpe import bpe_decode, bpe_encode
 from lexloom.llm.decontaminate import find_benchmark_text
+from lexloom.llm.labelled import fold
+from lexloom.llm.langid import identify_language, language_references
 from lexloom.llm.ngramjoin import ngram_jaccard_join
+from lexloom.llm.quality import quality_model, score_quality
 from lexloom.llm.repair import read_token_shards, write_token_shards
+from lexloom.llm.toxicity import score_toxicity, toxicity_model
 from lexloom.llm.urlrules import Rule, judge_urls
 from lexloom.llm.vectors import near_vectors
 from lexloom.llm.warc import read_archives, resolve_revisits, write_archives
@@ -54,10 +58,22 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = read_table(spark, folder, "documents"), fold("doc_id", 3) == 1
+    found = identify_language(docs, language_references(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, folder, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    scored = score_toxicity(docs, toxicity_model(docs, read_table(spark, folder, "labels")), ["doc_id"])
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 URL_RULES = [
     Rule("allow", "org", "/"),
     Rule("block", "example.org", "/es/"),
@@ -71,10 +87,16 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(read_table(spark, folder, "pages"), URL_RULES)
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    scored = score_quality(docs, quality_model(docs, read_table(spark, folder, "labels")), ["doc_id"])
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = find_benchmark_text(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
@@ -88,8 +110,11 @@ QUERIES: dict[str, Query] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
+    "op4_language": op4_language,
     "op5_ngram_join": op5_ngram_join,
+    "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
+    "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_shards": op10_token_shards,
 }

@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 
 #: A process keeps the ids of so many distinct pieces before it starts afresh.
-PIECES_KEPT = 600_000
+PIECES_KEPT = 800_000
 
 #: Letters, then ASCII marks or nothing: the split in front of the marks is certain.
 _WORD = re.compile(r"([a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+)([!-/:-@\[-`{-~]*)").fullmatch
@@ -46,7 +46,7 @@ class Vocabulary:
         self._special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self._after_space: dict[str, bytes | None] = {}
         self._marks: dict[str, list[int]] = {}
-        self._symbols = {b: c for c, b in byte_of_symbol().items()}
+        self._symbols = {b: c for c, b in byte_of_symbol().items() if b != 10}
         self._bytes: list[bytes] | None = None
 
     def encode_whole(self, text: str) -> bytes:
@@ -83,22 +83,25 @@ class Vocabulary:
 
     def _learn(self, known: dict[str, bytes | None], pieces: list[str]) -> None:
         """Ids of new pieces: words go to the model as they are, the rest through all steps of the library."""
-        merge, symbols, marks = self.tokenizer.model.tokenize, self._symbols, self._marks
-        rest = []
+        merge, marks = self.tokenizer.model.tokenize, self._marks
+        words, rest = [], []
         for piece in pieces:
             word = _WORD(piece)
             if word:
-                tail = word[2]
-                ids = [t.id for t in merge(f" {word[1]}".encode().decode("latin-1").translate(symbols))]
-                if tail:
-                    if tail not in marks:
-                        marks[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
-                    ids += marks[tail]
-                known[piece] = array("I", ids).tobytes()
+                words.append(word)
             elif stands_alone(piece):
                 rest.append(piece)
             else:
                 known[piece] = None
+        # The words in the model's symbols, all at once; a line end is none of them.
+        symbols = "\n".join([f" {w[1]}" for w in words]).encode().decode("latin-1").translate(self._symbols)
+        for word, spelled in zip(words, symbols.split("\n")):
+            ids = [t.id for t in merge(spelled)]
+            if word[2]:
+                if word[2] not in marks:
+                    marks[word[2]] = self.tokenizer.encode(word[2], add_special_tokens=False).ids
+                ids += marks[word[2]]
+            known[word[0]] = array("I", ids).tobytes()
         for piece, encoding in zip(rest, self.tokenizer.encode_batch_fast([" " + p for p in rest], add_special_tokens=False)):
             known[piece] = np.array(encoding.ids, "<u4").tobytes()
 

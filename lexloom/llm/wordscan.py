@@ -91,16 +91,15 @@ class Words:
     hashes: np.ndarray
 
 
-def words_of(block: Block, word_bytes: np.ndarray, lower: bool = True) -> Words:
-    """Maximal runs of ``word_bytes`` within each row, A-Z as a-z, with a 64-bit hash of each."""
+def words_of(block: Block, classes: np.ndarray, lower: bool = True) -> Words:
+    """Maximal runs of bytes of one class (not 0) within each row, A-Z as a-z, with a 64-bit hash of each."""
     data = LOWER[block.data] if lower else block.data
-    inside = word_bytes[data]
-    before = np.empty_like(inside)
-    before[:1] = False
+    inside = classes[data]
+    before = np.zeros_like(inside)
     before[1:] = inside[:-1]
     inner = block.offsets[:-1]
-    before[inner[inner < len(data)]] = False  # a word never runs on into the next row
-    starts = np.flatnonzero(inside & ~before)
+    before[inner[inner < len(data)]] = 0  # a word never runs on into the next row
+    starts = np.flatnonzero((inside != before) & (inside != 0))
     if not len(starts):
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(block.rows + 1, np.int64), np.zeros(0, np.uint64))
@@ -111,3 +110,21 @@ def words_of(block: Block, word_bytes: np.ndarray, lower: bool = True) -> Words:
     values = _BYTE[data[at]] * powers(int(lengths.max()))[inside_word]
     hashes = mixed(np.add.reduceat(values, first) + lengths.astype(np.uint64))
     return Words(starts, lengths, np.searchsorted(starts, block.offsets), hashes)
+
+
+def prefix_hashes(block: Block, words: Words, size: int) -> np.ndarray:
+    """Hash of the first ``size`` bytes of every word, A-Z as a-z; 0 for shorter words."""
+    out = np.zeros(len(words.starts), np.uint64)
+    long = np.flatnonzero(words.lengths >= size)
+    if len(long):
+        at, weights = words.starts[long], powers(size)
+        for k in range(size):
+            out[long] += _BYTE[LOWER[block.data[at + k]]] * weights[k]
+        out[long] = mixed(out[long] + np.uint64(size))
+    return out
+
+
+def sum_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the values between neighbouring bounds; a row without values has zero."""
+    sums = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]

@@ -4,11 +4,13 @@ A token is a run of letters and digits or a run of other visible characters, in
 a hashed vocabulary of fixed size.  Each entry has a sparse random index vector;
 an entry's context vector is the sum of the index vectors of the tokens within
 ``REACH`` of it, over all texts.  A text is the mean of its tokens' vectors,
-rarer tokens counting more.  The network is fitted on at most ``SAMPLE_ROWS``
+rarer tokens counting more, and drawn to the mean of all texts as if ``PRIOR``
+average tokens were added.  Beside it stand how often a token repeats one within
+``REACH`` before it, and the logarithm of the number of tokens.  The network is fitted on at most ``SAMPLE_ROWS``
 labelled texts; a part of them sets the temperature of its probabilities.
 
-Defined results: a null, empty or blank text is the zero vector and has the score
-the network gives to it; without labelled rows, or with one label only, every
+Defined results: a null, empty or blank text is the mean of all texts and has the
+score the network gives to it; without labelled rows, or with one label only, every
 score is the share of good labels (1 without labels, so nothing is rejected);
 repeated rows stay repeated; an empty table gives an empty table; further
 columns are ignored.
@@ -33,6 +35,7 @@ DIMENSIONS = 32
 NONZERO = 4  # entries of an index vector
 REACH = 2
 RARITY = 1e-3  # a token that makes up this share of all tokens counts half
+PRIOR = 8
 HIDDEN = 24
 EPOCHS, BATCH, RATE = 40, 256, 0.01
 
@@ -79,20 +82,27 @@ def context_sums(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
 
 
 def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
-    """Weighted unit context vectors of the whole vocabulary, learned from all texts; their size is fixed."""
+    """Weighted unit context vectors of the whole vocabulary and, last, their mean over all tokens of all texts; of fixed size."""
     width = DIMENSIONS + 1
     sums = sum_arrays(docs.select(text_column), context_sums, 64)
     sums = sums.reshape(-1, width) if len(sums) else np.zeros((1 << VOCABULARY_BITS, width))
     vectors, counts = sums[:, :-1], sums[:, -1]
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     share = counts / max(1.0, counts.sum())
-    return (vectors / np.maximum(norm, 1e-9) * (RARITY / (RARITY + share))[:, None]).astype(np.float32)
+    vectors = vectors / np.maximum(norm, 1e-9) * (RARITY / (RARITY + share))[:, None]
+    return np.concatenate([vectors, (share @ vectors)[None]]).astype(np.float32)
 
 
 def pooled(block: Block, vectors: np.ndarray) -> np.ndarray:
-    """The mean vector of each row's tokens."""
+    """Each row's pooled vector, its repetition at each distance, and the logarithm of its length."""
     token, bounds = tokens_of(block)
-    return sum_by_row(vectors[token], bounds) / np.maximum(np.diff(bounds), 1)[:, None]
+    n = np.diff(bounds)[:, None]
+    mean = (sum_by_row(vectors[token], bounds) + PRIOR * vectors[-1]) / (n + PRIOR)
+    row = np.repeat(np.arange(block.rows), np.diff(bounds))
+    again = np.zeros((len(token), REACH))
+    for k in range(1, REACH + 1):
+        again[k:, k - 1] = (token[k:] == token[:-k]) & (row[k:] == row[:-k])
+    return np.concatenate([mean, sum_by_row(again, bounds) / (n + PRIOR), np.log1p(n)], axis=1)
 
 
 @dataclass
@@ -174,7 +184,7 @@ def quality_model(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
 
     found = known.select(F.col("id").cast("string").alias("id"), "text", "label").mapInArrow(pool, "id string, label int, vector binary")
     found = sorted({r["id"]: r for r in found.collect()}.values(), key=lambda r: r["id"])  # SAMPLE_ROWS short rows at most
-    x = np.array([np.frombuffer(r["vector"]) for r in found]) if found else np.zeros((0, DIMENSIONS))
+    x = np.array([np.frombuffer(r["vector"]) for r in found]) if found else np.zeros((0, DIMENSIONS + REACH + 1))
     return Model(vectors, fit(x, np.array([r["label"] for r in found], float)))
 
 

@@ -11,9 +11,11 @@ texts, of fixed size.  Texts with equal sets are one node.
 2. Overlaps.  The order is cut into ``FRAGMENTS`` of equal weight.  Each fragment
    of a pair's sets is intersected on its own, and the partial overlaps are
    summed per pair.
-3. Long lists.  Texts of a list that are in different components after that are
-   compared as well, so no link between different texts is lost that could
-   change a component.
+3. Long lists.  Where the texts of a long list are not all in one component
+   after that, lists with texts in common form a group, and all its texts are
+   compared, a pair of blocks in a task.  A task counts overlaps fragment by
+   fragment in matrices and returns links only, so no link that could change a
+   component is lost, and no pair becomes a row.
 
 Sets hold 56-bit hashes, of which 48 bits are compared within a pair; unequal
 n-grams are taken as equal with a chance of about one in 10^8 for two texts of a
@@ -35,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.llm.blocks import forest, runs_of_rows
 from lexloom.llm.components import connected_components
 from lexloom.llm.wordscan import NOT_SPACE, Block, blocks, mixed, words_of
 from lexloom.sources.scratch import materialize
@@ -44,6 +47,8 @@ SKETCH_ROWS = 64  # rows in which a task's part of the sketch travels
 FRAGMENTS = 4
 SMALL_LIST = 16
 LEADERS = 4  # different leaders that a group of near copies meets in its long lists
+BLOCK = 512  # texts of a long list's group that a task holds, of either side
+COLUMNS = 4096  # n-grams in a matrix of overlaps
 CLASSES_SEEN = 200_000  # sets that a task remembers, to list copies once
 
 _HASH = np.uint64((1 << 56) - 1)
@@ -163,6 +168,23 @@ def _possible(num: int, den: int) -> Column:
     return (F.least(size_a, size_b) * den >= F.greatest(size_a, size_b) * num) & (room * (num + den) >= (size_a + size_b) * num)
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """48 bits of each key."""
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked(part: pa.BinaryScalar) -> np.ndarray:
+    raw = np.frombuffer(part.as_buffer(), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :6] = raw
+    return wide.view(np.uint64).reshape(-1)
+
+
+def _texts_of(texts: DataFrame, wanted: DataFrame, id_column: str) -> DataFrame:
+    """Rows of ``wanted`` with their text.  Both sides are sorted by id at any size: what is wanted grows with the data."""
+    return texts.join(wanted.hint("merge"), texts["id"] == wanted[id_column]).drop(texts["id"])
+
+
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.col("a.rep").alias("hub"), F.col("a.size").alias("hub_size"), F.col("b.rep").alias("member"), F.col("b.size").alias("member_size"))
 
@@ -171,7 +193,7 @@ def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int,
     """Pairs (a, b) whose sets overlap enough, from partial overlaps per fragment of the order."""
     shared = texts.sparkSession.sparkContext.broadcast(order)
     wanted = pairs.select("hub", "member").unionByName(pairs.select("hub", F.col("hub").alias("member")).distinct())
-    one_each = texts.join(wanted, texts["id"] == wanted["member"]).select("hub", "member", "text")
+    one_each = _texts_of(texts, wanted, "member").select("hub", "member", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,16 +206,10 @@ def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int,
                         if a < b:
                             at.append(block.first + row)
                             fragments.append(f)
-                            parts.append(np.ascontiguousarray(keys[a:b].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes())
+                            parts.append(_packed(keys[a:b]))
                 at = pa.array(at, pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fragments, pa.int32()), pa.array(parts, pa.binary())], ["hub", "member", "fragment", "keys"])
 
-    def numbers(part: pa.BinaryScalar) -> np.ndarray:
-        raw = np.frombuffer(part.as_buffer(), np.uint8).reshape(-1, 6)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :6] = raw
-        return wide.view(np.uint64).reshape(-1)
-
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by hub and fragment, the hub's own first; only that one is held."""
         now, held = None, np.zeros(0, np.uint64)
@@ -201,7 +217,7 @@ def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int,
             hubs, members, fragments = (batch.column(c).to_pylist() for c in range(3))
             out = []
             for row, (hub, member, fragment) in enumerate(zip(hubs, members, fragments)):
-                keys = numbers(batch.column(3)[row])
+                keys = _unpacked(batch.column(3)[row])
                 if hub == member:
                     now, held = (hub, fragment), np.sort(keys)
                 elif now == (hub, fragment):
@@ -218,6 +234,71 @@ def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int,
     return materialize(linked.select(F.col("hub").alias("a"), F.col("member").alias("b")), name)
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], cuts: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists, summed over the fragments between the cuts."""
+    total = np.zeros((len(left), len(right)), np.int64)
+    sides = [(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])) for sets in (left, right)]
+    places = [np.searchsorted(cuts, keys, "right") for keys, _ in sides]
+    for fragment in range(len(cuts) + 1):
+        (a, row_a), (b, row_b) = ((keys[p == fragment], row[p == fragment]) for (keys, row), p in zip(sides, places))
+        common = np.intersect1d(a, b)
+        for at in range(0, len(common), COLUMNS):
+            columns, grids = common[at : at + COLUMNS], []
+            for keys, row, n in ((a, row_a, len(left)), (b, row_b, len(right))):
+                place = np.minimum(np.searchsorted(columns, keys), len(columns) - 1)
+                held = columns[place] == keys
+                grid = np.zeros((n, len(columns)), np.float32)
+                grid[row[held], place[held]] = 1
+                grids.append(grid)
+            total += (grids[0] @ grids[1].T).astype(np.int64)
+    return total
+
+
+def _compare_groups(texts: DataFrame, placed: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) between texts of different components whose long lists hang together."""
+    shared = texts.sparkSession.sparkContext.broadcast(order)
+    hung = placed.groupBy("key").agg(F.min("rep").alias("first"))
+    groups = connected_components(placed.select("key", "rep").join(hung, "key"), "rep", "first")
+    members = placed.select("rep", "component").distinct().join(groups.select(F.col("node").alias("rep"), F.col("component").alias("group")), "rep")
+    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    members = members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    tasks = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+        "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "component",
+    )
+    tasks = materialize(tasks, "ngram-tasks")
+    by_task = ["group", "lo", "hi"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(6)):
+                parts = [_packed(np.sort(shared.value.keys(h))) for h in ngram_hashes(block, n)]
+                some = batch.slice(block.first, block.rows)
+                yield pa.RecordBatch.from_arrays([*some.columns[:6], pa.array(parts, pa.binary())], [*some.schema.names[:6], "keys"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(46)  # the bits that are left are even
+        for rows in runs_of_rows(batches, 3):
+            side, ids, component = (rows.column(c).to_numpy() for c in (3, 4, 5))
+            sets = [_unpacked(k) for k in rows.column(6)]
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            right = right if len(right) or rows.column(1)[0] != rows.column(2)[0] else left
+            if not len(left) or not len(right):
+                continue
+            common = overlaps([sets[i] for i in left], [sets[i] for i in right], cuts)
+            size = np.array([len(s) for s in sets])
+            either = size[left][:, None] + size[right][None, :] - common
+            a, b = np.nonzero((common * den >= either * num) & (component[left][:, None] != component[right][None, :]))
+            label = forest(len(ids), left[a], right[b])
+            hung = np.flatnonzero(label != np.arange(len(ids)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hung]), pa.array(ids[label[hung]])], ["a", "b"])
+
+    sets = _texts_of(texts, tasks, "rep").select(*by_task, "side", "rep", "component", "text")
+    sets = sets.mapInArrow(cut, "group long, lo int, hi int, side int, rep long, component long, keys binary")
+    found = sets.repartition(*by_task).sortWithinPartitions(*by_task).mapInArrow(compare, "a long, b long")
+    return materialize(found, "ngram-links")
+
+
 def ngram_jaccard_join(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 5, num: int = 80, den: int = 100
 ) -> DataFrame:
@@ -251,18 +332,12 @@ def ngram_jaccard_join(
     links = _verify(texts, pairs, order, n, num, den, "ngram-links")
     components = connected_components(links)
 
-    # Long lists whose texts are not all together yet: those of different components are compared too.
+    # Long lists whose texts are not all together yet.
     placed = long.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).filter("apart")
-    placed = materialize(placed.join(apart, "key"), "ngram-apart")
-    across = placed.alias("a").join(
-        placed.alias("b"),
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (rank("a") < rank("b")) & _possible(num, den),
-    )
-    tested = pairs.select("hub", "member").unionByName(pairs.select(F.col("member").alias("hub"), F.col("hub").alias("member")))
-    more = materialize(_pairs(across).distinct().join(tested, ["hub", "member"], "left_anti"), "ngram-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_verify(texts, more, order, n, num, den, "ngram-links"))
+    placed = materialize(placed.join(apart, "key").select("key", "rep", "component"), "ngram-apart")
+    if not placed.isEmpty():
+        links = links.unionByName(_compare_groups(texts, placed, order, n, num, den))
         components = connected_components(links)
 
     of_class = classes.join(components, F.col("rep") == F.col("node"), "left").select("size", "sig", F.coalesce("component", "rep").alias("component_id"))

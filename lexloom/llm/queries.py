@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from lexloom.llm.langid import identify_language, language_references
 from lexloom.llm.ngramjoin import ngram_jaccard_join
 from lexloom.llm.quality import quality_model, score_quality
 from lexloom.llm.repair import read_token_shards, write_token_shards
+from lexloom.llm.storage import reach_package
 from lexloom.llm.toxicity import score_toxicity, toxicity_model
 from lexloom.llm.urlrules import Rule, judge_urls
 from lexloom.llm.vectors import near_vectors
@@ -106,17 +109,29 @@ def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _reaching(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        reach_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    "op1_near_vectors": op1_near_vectors,
-    "op2_bpe": op2_bpe,
-    "op3_warc": op3_warc,
-    "op4_language": op4_language,
-    "op5_ngram_join": op5_ngram_join,
-    "op6_toxicity": op6_toxicity,
-    "op7_url_rules": op7_url_rules,
-    "op8_quality": op8_quality,
-    "op9_decontaminate": op9_decontaminate,
-    "op10_token_shards": op10_token_shards,
+    query.__name__: _reaching(query)
+    for query in (
+        op1_near_vectors,
+        op2_bpe,
+        op3_warc,
+        op4_language,
+        op5_ngram_join,
+        op6_toxicity,
+        op7_url_rules,
+        op8_quality,
+        op9_decontaminate,
+        op10_token_shards,
+    )
 }
 
 ORACLES: dict[str, str] = {}

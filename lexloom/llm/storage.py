@@ -7,8 +7,10 @@ rows are ever read.  A lost or repeated task leaves at worst an unread file.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -46,3 +48,15 @@ def open_file(path: str):
 def read_file(path: str) -> bytes:
     with open_file(path) as file:
         return file.read()
+
+
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    That serves local sessions started from any folder; on a cluster the package is
+    installed on the workers or sent with ``--py-files``.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])

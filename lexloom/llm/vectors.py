@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.llm.blocks import forest, runs_of_rows
 from lexloom.llm.components import connected_components
 from lexloom.sources.scratch import materialize
 
@@ -66,19 +67,6 @@ def buckets(unit: np.ndarray, k: int, tables: int, seed: int = SEED) -> np.ndarr
     return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node that the links i, j reach."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        label = label[label]
-        if np.array_equal(before, label):
-            return label
-
-
 def compare(ids, units, keys, weights, sides, table: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weighted number of links of each row that are new in this table, and links (a, b) that hold the rows together.
 
@@ -105,7 +93,7 @@ def compare(ids, units, keys, weights, sides, table: int, cosine: float) -> tupl
         found_i.append(i)
         found_j.append(j)
     i, j = np.concatenate(found_i or [[]]).astype(int), np.concatenate(found_j or [[]]).astype(int)
-    label = _forest(len(ids), i, j) if len(i) else np.arange(len(ids))
+    label = forest(len(ids), i, j) if len(i) else np.arange(len(ids))
     hung = np.flatnonzero(label != np.arange(len(ids)))
     return counts, ids[hung], ids[label[hung]]
 
@@ -162,7 +150,7 @@ def near_vectors(
     group = ["tbl", "bucket", "lo", "hi"]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, 4):
+        for rows in runs_of_rows(batches, 4):
             if rows.num_rows < 2:
                 continue
             side, ids, copies = (rows.column(c).to_numpy() for c in (4, 5, 6))
@@ -197,26 +185,3 @@ def near_vectors(
         F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"),
     )
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows that agree in their first columns, of rows sorted by them."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(c).to_numpy() for c in range(keys)]
-        change = np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0)) + 1
-        bounds = [0, *change.tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:]):
-            part = batch.slice(a, b - a)
-            if waiting and any(waiting[-1].column(c)[-1] != part.column(c)[0] for c in range(keys)):
-                yield _together(waiting)
-                waiting = []
-            waiting.append(part)
-    if waiting:
-        yield _together(waiting)
-
-
-def _together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)

@@ -67,14 +67,13 @@ def buckets(unit: np.ndarray, k: int, tables: int, seed: int = SEED) -> np.ndarr
     return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def compare(ids, units, keys, weights, sides, table: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(ids, units, keys, weights, sides, alone: bool, table: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weighted number of links of each row that are new in this table, and links (a, b) that hold the rows together.
 
-    ``sides``: 0 and 1 for two blocks to compare with each other, all 0 for one block with itself.
+    ``sides``: 0 and 1 for two blocks to compare with each other; one block ``alone`` is compared with itself.
     """
     counts = np.zeros(len(ids), np.int64)
     left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-    alone = not len(right)
     found_i, found_j = [], []
     other = left if alone else right
     for at in range(0, len(left), 512):
@@ -153,6 +152,7 @@ def near_vectors(
         for rows in runs_of_rows(batches, 4):
             if rows.num_rows < 2:
                 continue
+            lo, hi = rows.column(2)[0].as_py(), rows.column(3)[0].as_py()
             side, ids, copies = (rows.column(c).to_numpy() for c in (4, 5, 6))
             size = {len(u.as_buffer()) for u in rows.column(7)}
             if len(size) > 1:  # another length in the same bucket by chance of hashing
@@ -163,7 +163,7 @@ def near_vectors(
                 some = rows.take(pa.array(part))
                 units = np.frombuffer(b"".join(some.column(7).to_pylist()), np.float64).reshape(len(part), -1)
                 keys = np.frombuffer(b"".join(some.column(8).to_pylist()), np.int32).reshape(len(part), -1)
-                counts, a, b = compare(ids[part], units, keys, copies[part], side[part], int(rows.column(0)[0].as_py()), cosine)
+                counts, a, b = compare(ids[part], units, keys, copies[part], side[part], lo == hi, int(rows.column(0)[0].as_py()), cosine)
                 linked = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(ids[part][linked], a)), pa.array(np.append(counts[linked], np.zeros(len(a), np.int64))), pa.array(np.append(np.full(len(linked), -1), b), mask=np.arange(len(linked) + len(a)) < len(linked))],

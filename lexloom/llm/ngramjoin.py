@@ -29,6 +29,7 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,8 +43,9 @@ from lexloom.llm.components import connected_components
 from lexloom.llm.wordscan import NOT_SPACE, Block, blocks, mixed, words_of
 from lexloom.sources.scratch import materialize
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SKETCH_ROWS = 64  # rows in which a task's part of the sketch travels
+FINE, COARSE = 192, 60  # frequency classes: equal shares of all n-grams, and ever wider ones for the most frequent
 FRAGMENTS = 4
 SMALL_LIST = 16
 LEADERS = 4  # different leaders that a group of near copies meets in its long lists
@@ -90,6 +92,17 @@ def prefix_length(size: int, num: int, den: int) -> int:
     return size - -(-size * num // den) + 1 if size else 0
 
 
+def frequency_classes(counts: np.ndarray) -> np.ndarray:
+    """A class per bucket, rising with its count."""
+    ordered = np.sort(counts)
+    mass = np.cumsum(ordered)
+    if not len(mass) or not mass[-1]:
+        return np.zeros(len(counts), np.uint8)
+    fine = ordered[np.searchsorted(mass, mass[-1] * np.arange(1, FINE) / FINE)]
+    coarse = fine[-1] * (max(2.0, ordered[-1] / max(1, fine[-1])) ** (np.arange(1, COARSE + 1) / COARSE))
+    return np.searchsorted(np.unique(np.concatenate([fine, coarse])), counts, "left").astype(np.uint8)
+
+
 def frequency_order(texts: DataFrame, n: int) -> Order:
     """Count all n-grams of all texts in a sketch; its sums, not the n-grams, come to the driver."""
     width = (1 << SKETCH_BITS) // SKETCH_ROWS
@@ -97,11 +110,11 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int32)
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), 4 << 20):
                 hashes = np.concatenate([*ngram_hashes(block, n), np.zeros(0, np.uint64)])
                 total += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total)).astype(np.int32)
         for row in range(SKETCH_ROWS) if total.any() else ():
-            part = total[row * width : (row + 1) * width].tobytes()
+            part = zlib.compress(total[row * width : (row + 1) * width].tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([part], pa.binary())], ["row", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +122,7 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
         for batch in batches:
             for row, part in zip(batch.column(0).to_pylist(), batch.column(1)):
                 sums.setdefault(row, np.zeros(width, np.int64))
-                sums[row] += np.frombuffer(part.as_buffer(), np.int32)
+                sums[row] += np.frombuffer(zlib.decompress(part.as_buffer()), np.int32)
         for row, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["row", "counts"])
 
@@ -118,15 +131,15 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in sums:
         total[row["row"] * width : (row["row"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    classes = np.floor(2 * np.log2(np.maximum(total, 1))).astype(np.uint8)
+    classes = frequency_classes(total)
     # Within a class the hashes are even, so equal shares of the order follow from the classes' shares.
-    weight = np.bincount(classes, weights=total, minlength=128)
+    weight = np.bincount(classes, weights=total, minlength=256)
     ends = np.cumsum(weight)
     cuts = []
     for k in range(1, FRAGMENTS):
         want = ends[-1] * k / FRAGMENTS
         c = int(np.searchsorted(ends, want))
-        inside = (want - (ends[c] - weight[c])) / weight[c] if weight[c] else 0
+        inside = min(1.0, max(0.0, (want - (ends[c] - weight[c])) / weight[c])) if weight[c] else 0
         cuts.append((c << 56) + int(inside * ((1 << 56) - 1)))
     return Order(classes, np.array(cuts, np.uint64))
 
@@ -293,7 +306,8 @@ def _compare_groups(texts: DataFrame, placed: DataFrame, order: Order, n: int, n
             hung = np.flatnonzero(label != np.arange(len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array(ids[hung]), pa.array(ids[label[hung]])], ["a", "b"])
 
-    sets = _texts_of(texts, tasks, "rep").select(*by_task, "side", "rep", "component", "text")
+    # The tasks are stored, so their true size decides how they meet the texts.
+    sets = texts.join(tasks, texts["id"] == tasks["rep"]).select(*by_task, "side", "rep", "component", "text")
     sets = sets.mapInArrow(cut, "group long, lo int, hi int, side int, rep long, component long, keys binary")
     found = sets.repartition(*by_task).sortWithinPartitions(*by_task).mapInArrow(compare, "a long, b long")
     return materialize(found, "ngram-links")

@@ -1,27 +1,20 @@
-"""Exact money sums and the rounding rules of the reports."""
+"""Sums, means and shares in the measure's own type, and the rounding of the reports."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-SHARE = "decimal(18,6)"
 
-
-def money(column: Column | str) -> Column:
-    """Amount as a decimal, so that sums do not depend on their order."""
-    return (F.col(column) if isinstance(column, str) else column).cast(MONEY)
-
-
-def total(column: Column | str) -> Column:
-    """Exact sum of an amount, as a double."""
-    return F.sum(money(column)).cast("double")
+def total(column: Column | str, digits: int | None = None) -> Column:
+    """Sum in the type of the amounts; rounded, if at all, after all of them are in it."""
+    summed = F.sum(column)
+    return summed if digits is None else F.round(summed, digits)
 
 
 def mean(column: Column | str) -> Column:
-    """Exact sum divided by the number of values."""
-    return total(column) / F.count(column)
+    """Sum divided by the number of values."""
+    return F.avg(column)
 
 
 def as_whole(column: Column) -> Column:
@@ -29,11 +22,5 @@ def as_whole(column: Column) -> Column:
     return F.round(column).cast("int")
 
 
-def split_evenly(amount: Column | str, parts: Column | str) -> Column:
-    """``amount / parts`` at six decimals; summing such shares stays exact."""
-    parts = F.col(parts) if isinstance(parts, str) else parts
-    return (money(amount).cast("double") / parts).cast(SHARE)
-
-
 def percent_of(part: Column, whole: Column, digits: int) -> Column:
     return F.round(F.lit(100.0) * part / whole, digits)

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.functions.numbers import split_evenly
-
 # Dimensions up to this size are attached to every fact row as an array.
 ARRAY_DIMENSION_ROWS = 1_000
 
@@ -31,17 +29,20 @@ def links_per(pairs: DataFrame, key: str, name: str = "links") -> DataFrame:
 def share_per_link(fact: DataFrame, pairs: DataFrame, key: str, measure: str) -> DataFrame:
     """Facts that have links, with ``links`` and the ``share`` of the measure each link gets."""
     linked = fact.select(key, measure).join(links_per(pairs, key), key)
-    return linked.withColumn("share", split_evenly(measure, "links"))
+    return linked.withColumn("share", F.col(measure) / F.col("links"))
 
 
 def attributed(fact: DataFrame, pairs: DataFrame, key: str, topic: str, measure: str) -> DataFrame:
     """Measure attributed to each topic key: every link carries an equal share.
 
-    Summed per topic key here, so a later join with the topic dimension sees one
-    row per topic whatever its number of links.
+    Measures are summed in their own type per topic and number of links and divided
+    once per such group, so shares lose nothing on the way.  Summed per topic key
+    here, so a later join with the topic dimension sees one row per topic whatever
+    its number of links.
     """
-    shares = share_per_link(fact, pairs, key, measure).select(key, "share")
-    return pairs.join(shares, key).groupBy(topic).agg(F.sum("share").alias("attributed"))
+    linked = share_per_link(fact, pairs, key, measure).select(key, measure, "links")
+    sums = pairs.join(linked, key).groupBy(topic, "links").agg(F.sum(measure).alias("whole"))
+    return sums.groupBy(topic).agg(F.sum(F.col("whole").cast("double") / F.col("links")).alias("attributed"))
 
 
 def left_counts(fact: DataFrame, pairs: DataFrame, key: str, name: str) -> DataFrame:
@@ -62,23 +63,29 @@ def full_outer(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_k
     return left.unionByName(unused, allowMissingColumns=True)
 
 
-def pair_with_all(fact: DataFrame, dimension: DataFrame, key: str, applies: Column | None = None) -> DataFrame:
-    """Pair every fact row with every key of a small dimension where ``applies`` holds.
+def pair_with_all(
+    fact: DataFrame, dimension: DataFrame, key: str, applies: Column | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Pair every fact row with every row of a small dimension where ``applies`` holds.
 
-    ``applies`` may use columns of both.  Several rules over the same two tables
-    are one condition here, so the fact is read once.  A dimension within the
-    size check travels as one array that is exploded per row; a larger one is
-    matched through hash buckets instead, never as a whole.
+    The pairs have the fact's columns, ``key`` and the dimension's ``carry``
+    columns; ``applies`` may use all of these.  A NULL key is a row like any other,
+    and a NULL condition does not hold.  Several rules over the same two tables are
+    one condition here, so the fact is read once.  A dimension within the size
+    check travels as one array that is exploded per row; a larger one is matched
+    through hash buckets instead, never as a whole.
     """
-    rows = dimension.select(key).limit(ARRAY_DIMENSION_ROWS + 1).count()
+    slim = dimension.select(key, *carry)
+    rows = slim.limit(ARRAY_DIMENSION_ROWS + 1).count()
     if rows <= ARRAY_DIMENSION_ROWS:
-        keys = dimension.agg(F.sort_array(F.collect_list(key))).scalar()
-        pairs = fact.withColumn("__keys", keys).withColumn(key, F.explode("__keys")).drop("__keys")
+        whole = slim.agg(F.sort_array(F.collect_list(F.struct(*slim.columns)))).scalar()
+        paired = fact.withColumn("__row", F.explode(whole))
+        pairs = paired.select(*fact.columns, *[F.col("__row")[c].alias(c) for c in slim.columns])
     else:
-        buckets = dimension.count() // ARRAY_DIMENSION_ROWS + 1
-        keyed = dimension.select(key, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("__bucket"))
-        spread = fact.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1).cast("int"))))
-        pairs = spread.join(keyed, "__bucket").drop("__bucket")
+        buckets = slim.count() // ARRAY_DIMENSION_ROWS + 1
+        keyed = slim.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        repeated = fact.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1).cast("int"))))
+        pairs = repeated.join(keyed, "__bucket").drop("__bucket")
     return pairs if applies is None else pairs.filter(applies)
 
 

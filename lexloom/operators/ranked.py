@@ -19,8 +19,10 @@ per range: these are aggregated, accumulated and joined back by broadcast.
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from lexloom.session import shuffle_width
 
 RANGES_PER_TASK = 4  # several ranges per shuffle partition even out hashing
 SAMPLES_PER_RANGE = 16
-MAX_RANGES = 8192  # bounds the sample and the literal in the plan, not the input
+ROWS_PER_RANGE = 5_000_000  # at most about so many, however many rows there are
 DIRECT_ROWS = 500_000  # groups up to this many rows are windowed in one task
 
 
@@ -73,14 +75,19 @@ def _ascending_fields(schema: T.StructType, key: str | Desc) -> list[Column]:
     elif isinstance(kind, T.DecimalType):
         return [value.isNull().cast("int"), -value] if descending else [value]
     elif isinstance(kind, T.StringType):
-        if descending:
-            raise ValueError(f"descending text key {name!r}: rank on a numeric or date column instead")
-        return [value]
+        return [value.isNull().cast("int"), _reversed_text(value)] if descending else [value]
+    elif isinstance(kind, T.BinaryType):
+        return [value.isNull().cast("int"), _reversed_text(value)] if descending else [F.hex(value)]
     elif not isinstance(kind, T.IntegralType):
         raise ValueError(f"cannot range over {name!r} of type {kind.simpleString()}")
     return [value.isNull().cast("int"), F.bitwise_not(value)] if descending else [value]
 
 
+def _reversed_text(value: Column) -> Column:
+    """Text that sorts ascending where ``value`` sorts descending: its bytes complemented, and an end above all of them."""
+    return F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
 class _Ranges:
     """Cut points of one input and the expressions that use them.
 
@@ -88,7 +95,9 @@ class _Ranges:
     all rows of that value, 1 after them, and 0 between them at the tie fields.
     """
 
-    def __init__(self, df: DataFrame, groups: Sequence[str], order: Sequence[str | Desc], ties: Sequence[str | Desc]):
+    def __init__(
+        self, df: DataFrame, rows: int, groups: Sequence[str], order: Sequence[str | Desc], ties: Sequence[str | Desc]
+    ):
         def fields(keys: Sequence[str | Desc], prefix: str) -> dict[str, Column]:
             columns = [c for k in keys for c in _ascending_fields(df.schema, k)]
             return {f"__{prefix}{i}": c for i, c in enumerate(columns)}
@@ -98,13 +107,17 @@ class _Ranges:
         self.group_names, self.order_names, self.tie_names = list(group), list(ordered), list(tie)
         self.cuts: list[tuple] = []
         self.runs: list[int] = [0]
-        wanted = min(RANGES_PER_TASK * shuffle_width(df.sparkSession), MAX_RANGES)
-        size = SAMPLES_PER_RANGE * wanted
+        wanted = max(RANGES_PER_TASK * shuffle_width(df.sparkSession), -(-rows // ROWS_PER_RANGE))
         keys = df.select(*[c.alias(n) for n, c in self.columns.items()])
-        # The rows with the smallest key hashes: an even sample that every run repeats.
-        sample = keys.orderBy(F.xxhash64(*keys.columns), *keys.columns).limit(size).collect()
-        by_key = sorted((tuple(r) for r in sample), key=lambda row: [(v is not None, v) for v in row])
-        self._cut([by_key[i * len(by_key) // wanted] for i in range(1, wanted)] if by_key else [])
+        # Keys whose hash lies below a threshold: an even sample that every run repeats, of this many
+        # rows in all whatever the number of tasks.  Equal keys come as one row with their count.
+        share = min(1.0, SAMPLES_PER_RANGE * wanted / max(1, rows))
+        below = F.pmod(F.xxhash64(*keys.columns), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+        sample = keys.filter(below).groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("__copies")).collect()
+        by_key = sorted((tuple(r) for r in sample), key=lambda row: [(v is not None, v) for v in row[:-1]])
+        ends = list(accumulate(row[-1] for row in by_key))
+        picked = [bisect_right(ends, i * ends[-1] // wanted) for i in range(1, wanted)] if ends else []
+        self._cut([by_key[p][:-1] for p in picked])
 
     def _cut(self, picked: list[tuple]) -> None:
         head = len(self.group_names) + len(self.order_names)
@@ -194,7 +207,11 @@ def ranked(
     ntile, lag, lead = ntile or {}, lag or {}, lead or {}
     added = [n for n in (row_number, rank, dense_rank, *ntile, *lag, *lead) if n]
     output = [*df.columns, *added]
-    ranges = _Ranges(df, partition_by, order_by, tie_break) if _has_group_above(df, partition_by, direct_rows) else None
+    for key in (*partition_by, *order_by, *tie_break):
+        _ascending_fields(df.schema, key)  # the same keys are refused at any size
+    rows = df.count()
+    large = _has_group_above(df, rows, partition_by, direct_rows)
+    ranges = _Ranges(df, rows, partition_by, order_by, tie_break) if large else None
     split = ranges is not None and bool(ranges.cuts)
 
     frame = ranges.assign(df) if split else df
@@ -245,8 +262,7 @@ def ranked(
     return result.withColumns(columns).select(*output)
 
 
-def _has_group_above(df: DataFrame, partition_by: Sequence[str], rows: int) -> bool:
-    total = df.count()
+def _has_group_above(df: DataFrame, total: int, partition_by: Sequence[str], rows: int) -> bool:
     if total <= rows or not partition_by:
         return total > rows
     sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))

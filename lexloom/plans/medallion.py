@@ -10,7 +10,7 @@ from lexloom.functions.text import with_clean_text
 from lexloom.operators.groups import one_row_per_key
 from lexloom.plans.quality import assert_silver_quality
 from lexloom.schemas import GOLD_DOCUMENTS_SCHEMA, SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
-from lexloom.sources.readers import read_corpus, read_parquet, spread
+from lexloom.sources.readers import read_corpus, read_parquet
 from lexloom.sources.writers import overwrite, overwrite_compact, overwrite_partitioned, stored_rows
 
 
@@ -41,12 +41,13 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, strict: bool = False) -> int:
     """Build the silver layer, partitioned by year and type; returns the rows on disk.
 
-    ``strict`` gates what was stored and raises ``DataQualityError``.
+    ``strict`` raises ``DataQualityError`` before anything is published, so the layer
+    that was there stays.
     """
-    silver = to_silver(spread(read_parquet(spark, bronze_path)))
-    overwrite_partitioned(silver, silver_path, SILVER_PARTITION_COLUMNS)
+    silver = to_silver(read_parquet(spark, bronze_path))
     if strict:
-        assert_silver_quality(read_silver(spark, silver_path))
+        assert_silver_quality(silver)
+    overwrite_partitioned(silver, silver_path, SILVER_PARTITION_COLUMNS)
     return stored_rows(spark, silver_path)
 
 

@@ -81,9 +81,9 @@ def affected_countries(fact: DataFrame, countries: DataFrame, leaver_code: str,
 
     A state that left counts only for documents up to ``last_date_key``.
     """
-    left = countries.filter(F.col("country_code") == leaver_code).agg(F.max("country_id")).scalar()
-    member = (F.col("publication_date_key") <= last_date_key) | ~F.col("country_id").eqNullSafe(left)
-    pairs = pair_with_all(fact.select("document_id", "publication_date_key"), countries, "country_id", member)
+    member = (F.col("publication_date_key") <= last_date_key) | ~F.col("country_code").eqNullSafe(leaver_code)
+    documents = fact.select("document_id", "publication_date_key")
+    pairs = pair_with_all(documents, countries, "country_id", member, carry=["country_code"])
     return pairs.select("document_id", "country_id")
 
 

@@ -16,7 +16,7 @@ from lexloom.plans.medallion import (
 from lexloom.queries.model import BRIDGE_SQL, BRONZE_SQL, SILVER_SQL, bronze, order_day, orders, silver, topic_bridge
 from lexloom.queries.registry import query
 from lexloom.schemas import SILVER_PARTITION_COLUMNS
-from lexloom.sources.readers import read_csv, read_parquet, read_table
+from lexloom.sources.readers import read_csv, read_parquet, read_table, register_views
 from lexloom.sources.scratch import fresh_path, materialize
 from lexloom.sources.writers import append, layout_report, overwrite, overwrite_csv, overwrite_partitioned
 
@@ -56,11 +56,10 @@ def inline_values(spark, folder):
     WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderpriority""",
 )
 def sql_views(spark, folder):
+    register_views(spark, folder, ["orders", "customer"])
     return spark.sql(
-        """SELECT o_orderpriority, COUNT(*) AS num_orders FROM {orders} JOIN {customer} ON o_custkey = c_custkey
-        WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderpriority""",
-        orders=orders(spark, folder),
-        customer=read_table(spark, folder, "customer"),
+        """SELECT o_orderpriority, COUNT(*) AS num_orders FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderpriority"""
     )
 
 
@@ -106,9 +105,8 @@ def ingest_bronze_subset(spark, folder):
     FROM bronze JOIN documents USING (doc_id) WHERE lang = 'fr'""",
 )
 def ingest_bronze_split(spark, folder):
-    languages = read_table(spark, folder, "documents").select("doc_id", "lang")
     path = fresh_path(spark, "bronze-split")
-    ingest(spark, bronze(spark, folder).join(languages, "doc_id"), path, split="fr", split_column="lang")
+    ingest(spark, bronze(spark, folder, "lang"), path, split="fr", split_column="lang")
     return _digest(read_parquet(spark, path))
 
 
@@ -131,11 +129,15 @@ def partition_roundtrip(spark, folder):
     return stored.groupBy("year", "doc_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("bigint")).alias("chars"))
 
 
-@query("layout_report")
+@query(
+    "layout_report",
+    f"WITH {SILVER_SQL} SELECT year, doc_type, COUNT(*) AS rows, true AS has_files, true AS has_bytes FROM silver GROUP BY year, doc_type",
+)
 def layout(spark, folder):
     path = fresh_path(spark, "silver-layout")
     overwrite_partitioned(silver(spark, folder), path, SILVER_PARTITION_COLUMNS)
-    return layout_report(read_parquet(spark, path), SILVER_PARTITION_COLUMNS)
+    found = layout_report(read_parquet(spark, path), SILVER_PARTITION_COLUMNS)
+    return found.select("year", "doc_type", "rows", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query(
@@ -197,6 +199,22 @@ def gold_tables(spark, folder):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query(
+    "gold_single_files",
+    "SELECT 'documents' AS table_name, 1 AS files UNION ALL SELECT 'topics', 1 UNION ALL SELECT 'belongs_to', 1",
+)
+def gold_single_files(spark, folder):
+    """The gold tables of a small corpus, each in one file."""
+    gold_path = fresh_path(spark, "gold-single")
+    tables = silver_to_gold(spark, _stored_silver(spark, folder), gold_path, files=1)
+    files = [
+        read_parquet(spark, f"{gold_path}/{name}").agg(F.count_distinct("_metadata.file_path").cast("int").alias("files"))
+        .select(F.lit(name).alias("table_name"), "files")
+        for name in tables
+    ]
+    return files[0].unionByName(files[1]).unionByName(files[2])
+
+
 @query("collect_topics", f"""WITH {BRIDGE_SQL}, numbered AS (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS rn FROM b)
     SELECT l_orderkey, CAST((rn - 1) // 1000 AS INTEGER) AS chunk, CAST(COUNT(*) AS INTEGER) AS n_topics,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexloom.operators.bridges import bridge
 from lexloom.plans.medallion import to_silver
 from lexloom.schemas import DOC_TYPE_LABELS, JOURNAL_HEADER_PATTERN, OTHER_LABEL, SECTOR_LABELS
-from lexloom.sources.readers import read_table, spread
+from lexloom.sources.readers import read_table
 
 HEADER = "1.7.2014 EN Official Journal of the European Union L 192/42\n"
 
@@ -35,8 +35,8 @@ def topic_bridge(spark: SparkSession, folder: str) -> DataFrame:
 BRIDGE_SQL = "b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)"
 
 
-def bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw corpus in bronze shape, plus ``doc_id``.
+def bronze(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """The raw corpus in bronze shape, plus ``doc_id`` and ``more`` of its columns.
 
     Ids are built from the text length, so copies of a text share an id and
     some acts have several versions; one source delivers malformed ids.
@@ -49,8 +49,9 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     celex_id = F.concat(F.lit("3"), (1951 + n % 70).cast("string"), letter, n.cast("string"))
     body = F.replace(F.replace("text", F.lit(".\n"), F.lit(".\n\n\n\n")), F.lit(". "), F.lit(".  \t"))
     lines = F.split("text", "\n")
-    return spread(read_table(spark, folder, "documents")).select(
+    return read_table(spark, folder, "documents").select(
         "doc_id",
+        *more,
         F.when(F.col("source") == "src7", F.concat(F.lit("BAD"), F.col("doc_id").cast("string")))
         .otherwise(celex_id)
         .alias("celex_id"),

@@ -1,17 +1,16 @@
 """Topic reports through the bridge."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexloom.functions.numbers import money
+from lexloom.functions.numbers import total
 from lexloom.operators.bridges import attributed, links_per, share_per_link
 from lexloom.operators.groups import first_per_group
+from lexloom.operators.ranked import Desc, ranked
 from lexloom.operators.trends import compare_periods
 from lexloom.queries.model import BRIDGE_SQL, order_day, orders, topic_bridge
 from lexloom.queries.registry import query
 from lexloom.sources.readers import read_table
-
-
+from lexloom.sources.scratch import materialize
 
 def _parts(spark, folder, *columns):
     return read_table(spark, folder, "part").select("p_partkey", *columns)
@@ -33,32 +32,27 @@ def top_topics(spark, folder):
     return counted.orderBy(F.desc("num_docs"), "p_brand", "p_type").limit(5)
 
 
-# Half-up division of cents in whole numbers: exact in any engine.
-CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
-
-
 @query(
     "per_topic_share",
     f"""WITH {BRIDGE_SQL}, n AS (SELECT l_orderkey, COUNT(*) AS links FROM b GROUP BY l_orderkey)
-    SELECT o_orderkey, o_totalprice, links, ((2 * {CENTS} + links) // (2 * links)) / 100.0::DOUBLE AS price_per_link
+    SELECT o_orderkey, o_totalprice, links, o_totalprice * 1.0::DOUBLE / links AS price_per_link
     FROM orders JOIN n ON o_orderkey = l_orderkey""",
 )
 def per_topic_share(spark, folder):
     linked = share_per_link(orders(spark, folder), _bridge(spark, folder), "o_orderkey", "o_totalprice")
-    share = F.round(money("o_totalprice") / F.col("links"), 2).cast("double")
-    return linked.select("o_orderkey", "o_totalprice", "links", share.alias("price_per_link"))
+    return linked.select("o_orderkey", "o_totalprice", "links", F.col("share").alias("price_per_link"))
 
 
 @query(
     "fair_attribution",
     f"""WITH {BRIDGE_SQL}, n AS (SELECT l_orderkey, COUNT(*) AS links FROM b GROUP BY l_orderkey)
-    SELECT p_brand, CAST(round(SUM(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) / links AS DECIMAL(18,6))), 2) AS DOUBLE) AS attributed
+    SELECT p_brand, round(SUM(o_totalprice * 1.0::DOUBLE / links), 2) AS attributed
     FROM b JOIN n USING (l_orderkey) JOIN orders ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
 )
 def fair_attribution(spark, folder):
     per_part = attributed(orders(spark, folder), _bridge(spark, folder), "o_orderkey", "l_partkey", "o_totalprice")
     joined = per_part.join(_parts(spark, folder, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.groupBy("p_brand").agg(F.round(F.sum("attributed"), 2).cast("double").alias("attributed"))
+    return joined.groupBy("p_brand").agg(total("attributed", 2).alias("attributed"))
 
 
 @query(
@@ -82,19 +76,18 @@ def trend_by_topic(spark, folder):
 
 @query(
     "topic_ranking",
-    f"""WITH {BRIDGE_SQL}, per_topic AS (SELECT p_brand, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+    f"""WITH {BRIDGE_SQL}, per_topic AS (SELECT p_brand, round(SUM(o_totalprice), 2) AS total
       FROM orders JOIN b ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_brand)
-    SELECT CAST(row_number() OVER (ORDER BY total DESC, p_brand) AS INTEGER) AS ranking, p_brand, CAST(total AS DOUBLE) AS total
+    SELECT row_number() OVER (ORDER BY total DESC, p_brand) AS ranking, p_brand, total
     FROM per_topic ORDER BY ranking""",
 )
 def topic_ranking(spark, folder):
     priced = _bridge(spark, folder).join(orders(spark, folder).select("o_orderkey", "o_totalprice"), "o_orderkey")
-    per_part = priced.groupBy("l_partkey").agg(F.sum(money("o_totalprice")).alias("part_total"))
+    per_part = priced.groupBy("l_partkey").agg(total("o_totalprice").alias("part_total"))
     joined = per_part.join(_parts(spark, folder, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    per_topic = joined.groupBy("p_brand").agg(F.sum("part_total").alias("total"))
-    # One row per topic name: a vocabulary, not data, so one window task is enough.
-    ranking = F.row_number().over(Window.orderBy(F.desc("total"), "p_brand"))
-    return per_topic.select(ranking.alias("ranking"), "p_brand", F.col("total").cast("double").alias("total")).orderBy("ranking")
+    per_topic = materialize(joined.groupBy("p_brand").agg(total("part_total", 2).alias("total")), "topic-totals")
+    numbered = ranked(per_topic, order_by=[Desc("total")], tie_break=["p_brand"], row_number="ranking")
+    return numbered.select("ranking", "p_brand", "total").orderBy("ranking")
 
 
 @query(

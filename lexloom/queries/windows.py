@@ -11,7 +11,7 @@ from lexloom.queries.registry import query
 from lexloom.sources.readers import read_table
 from lexloom.sources.scratch import materialize
 
-SUM_OVER = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority) AS DOUBLE)"
+SUM_OVER = "round(SUM(o_totalprice) OVER (PARTITION BY o_orderpriority), 2)"
 
 
 def _priced(spark, folder):
@@ -25,7 +25,7 @@ def _dated(spark, folder):
 @query(
     "win_avg_partition",
     f"""SELECT o_orderkey, o_orderpriority, o_totalprice,
-      CAST(round({SUM_OVER} / COUNT(*) OVER (PARTITION BY o_orderpriority)) AS INTEGER) AS type_mean,
+      CAST(round(AVG(o_totalprice) OVER (PARTITION BY o_orderpriority)) AS INTEGER) AS type_mean,
       COUNT(*) OVER (PARTITION BY o_orderpriority) AS type_docs FROM orders""",
 )
 def win_avg_partition(spark, folder):
@@ -40,11 +40,11 @@ ROW_NUMBER_SQL = """SELECT o_orderkey, o_orderpriority, o_totalprice,
 
 
 def _row_numbers(spark, folder, **limits):
-    numbered = ranked(
-        _priced(spark, folder), partition_by=["o_orderpriority"], order_by=[Desc("o_totalprice")],
+    priced = with_group_values(_priced(spark, folder), ["o_orderpriority"], {"type_max": F.max("o_totalprice")})
+    return ranked(
+        priced, partition_by=["o_orderpriority"], order_by=[Desc("o_totalprice")],
         tie_break=["o_orderkey"], row_number="rn", dense_rank="dense", **limits,
     )
-    return with_group_values(numbered, ["o_orderpriority"], {"type_max": F.max("o_totalprice")})
 
 
 @query("win_row_number", ROW_NUMBER_SQL)
@@ -176,7 +176,7 @@ def running_total(spark, folder):
     f"SELECT o_orderkey, o_orderpriority, o_totalprice, {SUM_OVER} AS type_total, round(100.0::DOUBLE * o_totalprice / {SUM_OVER}, 4) AS pct FROM orders",
 )
 def pct_of_group(spark, folder):
-    rows = with_group_values(_priced(spark, folder), ["o_orderpriority"], {"type_total": total("o_totalprice")})
+    rows = with_group_values(_priced(spark, folder), ["o_orderpriority"], {"type_total": total("o_totalprice", 2)})
     return rows.withColumn("pct", percent_of(F.col("o_totalprice"), F.col("type_total"), 4))
 
 

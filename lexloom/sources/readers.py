@@ -10,11 +10,6 @@ from lexloom.operators.ranked import ranked
 from lexloom.schemas import BRONZE_SCHEMA
 from lexloom.sources.scratch import materialize
 
-# Above this many rows "the first n" is cut by rank over the key column alone
-# instead of a top-n of whole rows, which one task would have to hold.
-TOP_N_ROWS = 10_000
-
-
 def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One Parquet table of a folder, with its own or the given schema."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -31,17 +26,6 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return reader.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give text work on a small stored table (a plain scan) all cores.
-
-    Spark plans at least one split per core for a small input, but a row group
-    goes to one task, so most of those splits come up empty.  Such an input is
-    exchanged once; one that has more splits than cores stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """CSV with a header line and an explicit schema (no inference pass)."""
     return spark.read.option("header", True).option("dateFormat", date_format).schema(schema).csv(path)
@@ -54,28 +38,35 @@ def register_views(spark: SparkSession, folder: str, names: list[str]) -> None:
 
 
 def first_by_key(df: DataFrame, key: str, n: int, digest_of: str = "text") -> DataFrame:
-    """The first ``n`` rows in the order of ``key``, then the digest of the text."""
+    """The first ``n`` rows in the order of ``key``, then the digest of the text, then the other columns.
+
+    Keys alone are ranked to find the n-th.  Rows with smaller keys stay where they
+    are; of the rows with that key, digests and the other columns are ranked.  Texts
+    are filtered in place.
+    """
     if n < 0:
         raise ValueError("n must not be negative")
-    order = [key, "__digest"]
-    if n <= TOP_N_ROWS:
-        # The n smallest keys first, from the key column alone: the bound they
-        # give reaches the scan, so few texts are read and digested.
-        bound = df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
-        candidates = df.filter((F.col(key) <= F.lit(bound)) | F.col(key).isNull())
-        return candidates.withColumn("__digest", F.md5(digest_of)).orderBy(*order).limit(n).drop("__digest")
-    keyed = df.withColumn("__digest", F.md5(digest_of))
-    # Only keys are ranked; wide rows are then filtered in place against the
-    # n-th key and never sorted.
-    keys = materialize(keyed.select(*order), "subset-keys")
-    numbered = ranked(keys, order_by=order, row_number="n", rank="rank")
-    last = numbered.filter(F.col("n") == n).first()
+    if n == 0:
+        return df.limit(0)
+    numbered = ranked(materialize(df.select(key), "subset-keys"), order_by=[key], row_number="__n", rank="__rank")
+    last = numbered.filter(F.col("__n") == n).first()
     if last is None:
         return df
-    at_or_before = F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order])
-    at = F.struct(*order) == F.struct(*[F.lit(last[c]).alias(c) for c in order])
-    earlier = keyed.filter(at_or_before & ~at)
-    return earlier.unionByName(keyed.filter(at).limit(n - last["rank"] + 1)).drop("__digest")
+    at_key = F.col(key).eqNullSafe(F.lit(last[key]))
+    before = F.lit(False) if last[key] is None else (F.col(key) < F.lit(last[key])) | F.col(key).isNull()
+    others = [f for f in df.schema.fields if f.name not in (key, digest_of)]
+    position = {"__digest": F.md5(digest_of)}
+    position |= {f"__o{i}": F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name) for i, f in enumerate(others)}
+    narrow = materialize(df.filter(at_key).select(*[c.alias(name) for name, c in position.items()]), "subset-boundary")
+    rest = n - last["__rank"] + 1
+    final = ranked(narrow, order_by=list(position), row_number="__n", rank="__rank").filter(F.col("__n") == rest).first()
+    place = F.struct(*[c.alias(name) for name, c in position.items()])
+    types = {f.name: f.dataType for f in narrow.schema.fields}
+    bound = F.struct(*[F.lit(final[name]).cast(types[name]).alias(name) for name in position])
+    # Rows equal to the last one in everything are interchangeable: one of them is repeated.
+    copies = F.explode(F.sequence(F.lit(1), F.lit(rest - final["__rank"] + 1).cast("int")))
+    equal = df.filter(at_key & (place == bound)).limit(1).select(*df.columns, copies.alias("__copy")).drop("__copy")
+    return df.filter(before | (at_key & (place < bound))).unionByName(equal)
 
 
 def read_corpus(

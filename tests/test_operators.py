@@ -137,3 +137,25 @@ def test_reach_keeps_the_least_depth(spark, rows):
         least[path[-1]] = min(least.get(path[-1], 9), len(path) - 1)
     assert dict(rows(reach(seeds, edges, max_depth=5))) == least
     assert rows(reach(seeds, edges.limit(0))) == [(1, 0)]
+
+
+@pytest.mark.parametrize("limit", [0, 1_000])
+@pytest.mark.parametrize("names", [["a", "b"], ["a", "out"], ["out", "out", "c"], [None, "out", "a"], [None]])
+def test_pairs_equal_the_plain_cross_join(spark, rows, monkeypatch, limit, names):
+    """An exclusion that is absent, repeated or NULL, with NULL keys and NULL dates, on both sides of the size check."""
+    monkeypatch.setattr(bridges, "ARRAY_DIMENSION_ROWS", limit or 1)
+    fact = spark.createDataFrame([(1, 5), (2, 20), (3, None), (4, 20)], "id int, day int")
+    keys = [None, *range(1, len(names))]
+    dimension = spark.createDataFrame(list(zip(keys, names)), "country int, name string")
+    applies = (F.col("day") < 10) | ((F.col("day") >= 10) & (F.col("name") != "out"))
+    mine = bridges.pair_with_all(fact, dimension, "country", applies, carry=["name"])
+    assert rows(mine.select("id", "country")) == rows(fact.crossJoin(dimension).filter(applies).select("id", "country"))
+
+
+def test_attribution_keeps_the_total_of_any_measure(spark):
+    pairs = spark.createDataFrame([(1, k) for k in "abc"] + [(2, "a"), (3, "b"), (3, "c")], "doc int, topic string")
+    for kind, values in (("double", (100.0, 0.004, 1e17)), ("bigint", (100, 1, 7)), ("decimal(20,4)", (100, 1, 7)), ("double", (0.004, 0.004, 0.004))):
+        facts = spark.createDataFrame([(k + 1, v) for k, v in enumerate(values)], f"doc int, m {'double' if kind == 'double' else 'bigint'}")
+        facts = facts.withColumn("m", F.col("m").cast(kind))
+        found = bridges.attributed(facts, pairs, "doc", "topic", "m").agg(F.sum("attributed")).first()[0]
+        assert found == pytest.approx(float(sum(values)), rel=1e-12)

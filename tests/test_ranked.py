@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexloom.operators.ranked import Desc, ranked
+from lexloom.operators.ranked import Desc, _Ranges, ranked
 
 
 def sort(key):
@@ -77,8 +77,25 @@ def test_other_key_types(numbers):
     assert_same(typed, ["b", Desc("m")], ["id"])
     assert_same(typed, [Desc("ts"), "tn", Desc("f")], ["id"], ["g"])
     assert_same(typed, ["g"], ["id"])
-    with pytest.raises(ValueError, match="descending text"):
-        ranked(typed, order_by=[Desc("g")], row_number="n", direct_rows=0)
+    words = typed.withColumn("w", F.expr("CASE WHEN id % 7 = 0 THEN NULL ELSE left(concat('aé日z', repeat('a', id % 4)), id % 6) END"))
+    words = words.withColumn("bin", F.col("w").cast("binary"))
+    assert_same(words, [Desc("w")], ["id"])
+    assert_same(words, ["bin", Desc("v")], ["id"])
+    assert_same(words, [Desc("bin"), "v"], [Desc("w"), "id"], ["g"])
+    for limit in (0, 10**6):
+        with pytest.raises(ValueError, match="cannot range"):
+            ranked(words.withColumn("a", F.array("id")), order_by=["a"], row_number="n", direct_rows=limit)
+
+
+def test_the_sample_does_not_grow_with_the_number_of_tasks(spark):
+    wide = spark.range(0, 400_000, 1, 200).select("id", (F.col("id") % 1000).alias("v"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2048")
+    try:
+        cuts = _Ranges(wide, 400_000, [], ["v"], ["id"]).cuts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(cuts) >= 8000
 
 
 def test_small_and_empty_inputs(spark, numbers):

@@ -102,11 +102,7 @@ def test_constraints_hold_and_are_counted_when_broken(spark, star, rows):
 
 
 def test_partition_counts(spark):
-    from lexloom.sources.readers import spread
-
     wide = spark.range(0, 100, 1, 8)
     assert wide.rdd.getNumPartitions() == 8 and wide.coalesce(1).rdd.getNumPartitions() == 1
     assert wide.repartition(3).rdd.getNumPartitions() == 3
     assert "Exchange" not in wide.coalesce(1)._jdf.queryExecution().executedPlan().toString()
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(wide).rdd.getNumPartitions() == 8

@@ -11,8 +11,8 @@ from lexloom.operators.ranked import ranked
 from lexloom.sources.scratch import materialize
 
 
-# Repeated keys up to this many are sent to every task (tens of megabytes).
-BROADCAST_KEYS = 500_000
+# With more repeated keys than this, most rows would move anyway.
+MANY_KEYS = 500_000
 
 
 def with_group_values(df: DataFrame, by: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
@@ -54,12 +54,12 @@ def one_row_per_key(df: DataFrame, key: str, order_by: Sequence[Column]) -> Data
     """
     repeated = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key")
     repeated = materialize(repeated, "repeated-keys")
-    if repeated.count() > BROADCAST_KEYS:
+    if repeated.count() > MANY_KEYS:
         return first_per_group(df, [key], order_by)
-    few = F.broadcast(repeated)
-    same = df[key].eqNullSafe(few["__key"])
-    unique = df.join(few, same, "left_anti")
-    return unique.unionByName(first_per_group(df.join(few, same, "left_semi"), [key], order_by))
+    # The keys are stored, so their bytes decide whether they are sent to every task.
+    same = df[key].eqNullSafe(repeated["__key"])
+    unique = df.join(repeated, same, "left_anti")
+    return unique.unionByName(first_per_group(df.join(repeated, same, "left_semi"), [key], order_by))
 
 
 def collected(pairs: DataFrame, key: str, element: str, size: int = 1000) -> DataFrame:

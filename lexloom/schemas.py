@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The contracts of the layers and of the star schema.
+#
 # Spark relaxes nullable=False when it reads files, so these flags document the
 # contract; lexloom.plans.quality is what enforces it.
 

@@ -22,8 +22,8 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only in local mode."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    """The cluster's shared folder, from the setting or ``setCheckpointDir``; a local one only in local mode."""
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -5,6 +5,7 @@ from lexloom.functions.celex import with_celex_components, with_doc_type_label,
 from lexloom.functions.text import with_clean_text
 from lexloom.schemas import DOC_TYPE_LABELS
 
+# Ids and what they stand for.
 CASES = [
     ("32014R0727", "3", 2014, "R", "Regulation"),
     ("31975R2481", "3", 1975, "R", "Regulation"),
@@ -43,7 +44,7 @@ HEADER = "1.7.2014 EN Official Journal of the European Union L 192/42\n"
         (HEADER + "COMMISSION REGULATION\nBody", "COMMISSION REGULATION\nBody"),
         ("  \n" + HEADER + "Text", "Text"),
         ("Body\n" + HEADER + "Text", "Body\n" + HEADER + "Text"),
-        ("Para one.\n\n\n\nPara two.\nSame paragraph.", "Para one.\n\nPara two.\nSame paragraph."),
+        ("First article.\n\n\n\nSecond article,\non two lines.", "First article.\n\nSecond article,\non two lines."),
         ("word1     word2\tword3", "word1 word2 word3"),
         ("\t a \t b \n", "a b"),
         ("a\n \n \nb", "a\n \n \nb"),

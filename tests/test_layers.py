@@ -94,7 +94,7 @@ def test_duplicate_documents_do_not_depend_on_partitioning(spark, rows, monkeypa
     silver = medallion.to_silver(spark.createDataFrame(versions, loose))
     results = [rows(medallion.build_documents(silver.repartition(n))) for n in (1, 3, 8)]
     assert results[0] == results[1] == results[2]
-    monkeypatch.setattr(groups, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(groups, "MANY_KEYS", 0)
     assert rows(medallion.build_documents(silver)) == results[0]
     lowest_digest = min("ab", key=lambda c: hashlib.md5((c * 80).encode()).hexdigest())
     assert sorted(r[1] for r in results[0]) == [f"Long {lowest_digest}", "No id", "Only"]

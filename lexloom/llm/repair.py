@@ -46,7 +46,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
     first[starts] = True
     first = first[: len(ids)]
     rules: list[np.ndarray] = []
-    count, turn, most = 0, 0, None
+    count, turn = 0, 0
     while len(symbols) > 1:
         turn += 1
         a, b = symbols[:-1], symbols[1:]
@@ -54,38 +54,39 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         bucket[first[1:]] = 0  # bucket 0 is never used
         counts = np.bincount(bucket, minlength=1 << _BUCKETS)
         counts[0] = 0
-        most = int(counts.max())
-        if most < LEAST_COUNT:
-            break
-        at = np.flatnonzero((counts >= max(LEAST_COUNT, most // 8))[bucket])
+        at = np.flatnonzero((counts >= LEAST_COUNT)[bucket])
         of, pair = bucket[at], a[at].astype(np.uint64) << np.uint64(32) | b[at]
         # One pair of each bucket is replaced in this round; another gets its turn under another hash.
         chosen = np.zeros(1 << _BUCKETS, np.uint64)
-        chosen[of[::-1]] = pair[::-1]
+        chosen[of] = pair
         hit = chosen[of] == pair
         at, of = at[hit], of[hit]
-        run = np.flatnonzero(np.append(True, np.diff(at) != 1))  # overlapping occurrences
+        counts = np.bincount(of, minlength=1 << _BUCKETS)
+        weight = counts[of]
+        frequent = weight >= LEAST_COUNT
+        at, of, weight = at[frequent], of[frequent], weight[frequent]
+        # Of overlapping occurrences the more frequent pair wins; of equals every other one.
+        touching = np.diff(at) == 1
+        beaten = np.zeros(len(at), bool)
+        beaten[1:] |= touching & (weight[:-1] > weight[1:])
+        beaten[:-1] |= touching & (weight[1:] > weight[:-1])
+        at, of = at[~beaten], of[~beaten]
+        run = np.flatnonzero(np.append(True, np.diff(at) != 1)) if len(at) else np.zeros(0, np.int64)
         offset = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
         at, of = at[offset % 2 == 0], of[offset % 2 == 0]
-        used = np.bincount(of, minlength=1 << _BUCKETS)
-        kept = used >= LEAST_COUNT // 2
+        kept = np.bincount(of, minlength=1 << _BUCKETS) >= LEAST_COUNT // 2
         at, of = at[kept[of]], of[kept[of]]
-        if not len(at):
-            if most // 8 <= LEAST_COUNT:
-                break
-            continue
+        if len(at) < LEAST_GAIN * len(symbols):
+            break
         new = np.flatnonzero(kept)
         number = np.zeros(1 << _BUCKETS, np.uint32)
         number[new] = base + count + np.arange(len(new), dtype=np.uint32)
         rules.append(np.stack([chosen[new] >> np.uint64(32), chosen[new] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         count += len(new)
-        done, before = len(at), len(symbols)
-        symbols[at] = number[of]
-        keep = np.ones(before, bool)
+        keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
+        symbols[at] = number[of]
         symbols, first = symbols[keep], first[keep]
-        if done < LEAST_GAIN * before and most // 8 <= LEAST_COUNT:
-            break
     return symbols, np.flatnonzero(first), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 

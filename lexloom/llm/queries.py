@@ -134,4 +134,53 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_REACH = """reach AS (SELECT {id} AS node, {id} AS other FROM {table}
+      UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a),
+    component AS (SELECT node, MIN(other) AS component_id FROM reach GROUP BY node)"""
+
+#: The same results in SQL.  The other operators have none: encoding and the trained models are tested in tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_near_vectors": f"""WITH RECURSIVE link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+      AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9), {_REACH.format(id="vec_id", table="embeddings")},
+    counted AS (SELECT a, COUNT(*) AS n FROM link GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN component ON vec_id = node LEFT JOIN counted ON vec_id = a""",
+    "op3_warc": """WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+    first AS (SELECT html, MIN(page_id) AS first_id FROM hashed GROUP BY html)
+    SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+      array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (CAST('0x' || substr(h, 5 * (j // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (j % 4) AS INTEGER)) % 32, 1)
+        for j in range(32)], '') AS payload_digest,
+      CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM hashed JOIN first USING (html)""",
+    "op5_ngram_join": f"""WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM worded),
+    grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+    link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))),
+    {_REACH.format(id="doc_id", table="documents")}
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN component ON doc_id = node""",
+    # The given pages hold no canonical links and no refreshes, so every url is its own component.
+    "op7_url_rules": f"""WITH parts AS (SELECT page_id, {_LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+    rules AS (SELECT * FROM (VALUES {", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in URL_RULES)}) AS r(action, rule_host, rule_path)),
+    fit AS (SELECT page_id, rule_host || rule_path AS rule, action FROM parts JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+    best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM fit GROUP BY page_id)
+    SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict, CAST(NULL AS VARCHAR) AS component
+    FROM parts LEFT JOIN best USING (page_id)""",
+    "op9_decontaminate": f"""WITH worded AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    item AS (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+    pattern AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+    place AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS p
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM worded, (SELECT DISTINCT n FROM pattern))),
+    found AS (SELECT doc_id, i, n, item_id FROM place JOIN pattern USING (n, p)),
+    hits AS (SELECT doc_id, COUNT(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id),
+    items AS (SELECT doc_id, COUNT(DISTINCT item_id) AS n_items, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM worded LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}

@@ -99,6 +99,7 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
     if not len(mass) or not mass[-1]:
         return np.zeros(len(counts), np.uint8)
     fine = ordered[np.searchsorted(mass, mass[-1] * np.arange(1, FINE) / FINE)]
+    del mass
     coarse = fine[-1] * (max(2.0, ordered[-1] / max(1, fine[-1])) ** (np.arange(1, COARSE + 1) / COARSE))
     return np.searchsorted(np.unique(np.concatenate([fine, coarse])), counts, "left").astype(np.uint8)
 
@@ -124,13 +125,14 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
                 sums.setdefault(row, np.zeros(width, np.int64))
                 sums[row] += np.frombuffer(zlib.decompress(part.as_buffer()), np.int32)
         for row, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["row", "counts"])
+            packed = zlib.compress(total.tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([packed], pa.binary())], ["row", "counts"])
 
     parts = texts.select("text").mapInArrow(count, "row int, counts binary")
     sums = parts.repartition("row").mapInArrow(add, "row int, counts binary").collect()  # SKETCH_ROWS rows at most
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in sums:
-        total[row["row"] * width : (row["row"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
+        total[row["row"] * width : (row["row"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     classes = frequency_classes(total)
     # Within a class the hashes are even, so equal shares of the order follow from the classes' shares.
     weight = np.bincount(classes, weights=total, minlength=256)

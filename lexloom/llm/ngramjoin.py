@@ -45,6 +45,7 @@ from lexloom.sources.scratch import materialize
 
 SKETCH_BITS = 22
 SKETCH_ROWS = 64  # rows in which a task's part of the sketch travels
+SKETCH_AT_ONCE = 1_000_000  # n-grams that are counted together
 FINE, COARSE = 192, 60  # frequency classes: equal shares of all n-grams, and ever wider ones for the most frequent
 FRAGMENTS = 4
 SMALL_LIST = 16
@@ -110,10 +111,20 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int32)
+        waiting: list[np.ndarray] = []
+
+        def count_waiting() -> None:
+            buckets = np.concatenate([np.zeros(0, np.int32), *waiting])
+            np.add(total, np.bincount(buckets, minlength=len(total)), out=total, casting="unsafe")
+            waiting.clear()
+
         for batch in batches:
-            for block in blocks(batch.column(0), 4 << 20):
+            for block in blocks(batch.column(0)):
                 hashes = np.concatenate([*ngram_hashes(block, n), np.zeros(0, np.uint64)])
-                total += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total)).astype(np.int32)
+                waiting.append((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                if sum(map(len, waiting)) > SKETCH_AT_ONCE:
+                    count_waiting()
+        count_waiting()
         for row in range(SKETCH_ROWS) if total.any() else ():
             part = zlib.compress(total[row * width : (row + 1) * width].tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([part], pa.binary())], ["row", "counts"])

@@ -16,8 +16,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: A process keeps the ids of so many distinct pieces before it starts afresh.
-PIECES_KEPT = 800_000
+#: A process keeps the ids of so many distinct pieces (some 60 MB) before it starts afresh.
+PIECES_KEPT = 250_000
 
 #: Letters, then ASCII marks or nothing: the split in front of the marks is certain.
 _WORD = re.compile(r"([a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+)([!-/:-@\[-`{-~]*)").fullmatch

@@ -4,7 +4,11 @@ For each language a suffix automaton holds all substrings of a bounded reference
 made of labelled texts.  A text is parsed against each: a phrase is the longest
 match from where the last one ended.  Fewer phrases mean a closer language; per
 byte and weighted by the logarithm of the reference's length, their number
-estimates the cross entropy, and the smallest wins.
+estimates the cross entropy, and the smallest wins.  All references weigh as a full
+one, or as the largest if that is longer: a short reference would else make its
+phrases, and the bytes it lacks, cheap.  With equal weights a reference never beats
+one that holds it, and a byte without a match costs a whole phrase (14.6 bits at
+``REFERENCE_BYTES``).  A language of a few words is thus only found in those words.
 
 The automaton with "end the phrase and go on" as its answer to a byte that does
 not continue a match is a table of next states.  Very many stretches of text walk
@@ -178,7 +182,7 @@ def identify_language(docs: DataFrame, references: list[Reference], id_column: s
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     names = np.array([r.lang for r in references], object)
-    weight = np.array([math.log2(max(2, r.size)) for r in references])
+    weight = math.log2(max(REFERENCE_BYTES, *(r.size for r in references))) if references else 0.0  # the same for all
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

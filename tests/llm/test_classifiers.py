@@ -149,3 +149,19 @@ def test_languages_and_odd_texts(spark, odd_docs, no_docs):
     assert langid.identify_language(no_docs, references).count() == 0
     assert langid.language_references(no_docs, F.lit(True)) == []
     assert {r.lang_pred for r in langid.identify_language(docs, []).collect()} == {"und"}
+
+
+def test_a_rare_label_of_one_short_text_wins_nothing(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    letters = {"en": "etoinshrdw", "fr": "easjulcqvb"}  # every word is new, as in no text seen before
+    word = lambda lang: "".join(rng.choices(letters[lang], k=rng.randint(2, 8)))
+    rows = [(k, " ".join(word("en" if k % 2 else "fr") for _ in range(60)), "en" if k % 2 else "fr") for k in range(120)]
+    for rare in ("ok", "hello", "hello dear old world"):
+        docs = spark.createDataFrame([*rows, (999, rare, "aa")], "doc_id long, text string, lang string")
+        references = langid.language_references(docs, F.col("doc_id") >= 60)
+        assert [r.lang for r in references] == ["aa", "en", "fr"] and references[0].size == len(rare)
+        found = {r.doc_id: r for r in langid.identify_language(docs, references).collect()}
+        assert all(found[k].lang_pred == lang for k, _, lang in rows)
+        assert found[999].lang_pred == "aa"

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from lexloom.llm.wordscan import Block, blocks, sum_by_row
 
 REFERENCE_BYTES = 24_000  # of each language
-REFERENCE_TEXTS = 60  # labelled texts of a language that its reference is taken from
+REFERENCE_TEXTS = 60  # labelled texts of a language that its reference is taken from, a stretch of each
 STRETCH = 256
 UNKNOWN = "und"
 
@@ -156,21 +156,41 @@ def has_letter(block: Block) -> np.ndarray:
     return found
 
 
-def language_references(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> list[Reference]:
-    """A reference for each language of the rows to learn from; of fixed size for each, made in a task of its own."""
+def reference_text(texts: list[str], places: list[int], size: int) -> bytes:
+    """At most ``size`` folded bytes: a stretch of each text, as equal in length as the texts allow.
+
+    ``places`` says where a text's stretch begins, modulo where it can begin; so near copies give different parts.
+    """
+    parts = [b" ".join(folded(np.frombuffer(t.encode("utf-8"), np.uint8)).tobytes().split()) for t in texts]
+    left = size - max(0, len(parts) - 1)  # without the spaces between them
+    for done, k in enumerate(sorted(range(len(parts)), key=lambda k: len(parts[k]))):
+        part, take = parts[k], min(len(parts[k]), max(0, left) // (len(parts) - done))
+        at = places[k] % (len(part) - take + 1)
+        parts[k], left = part[at : at + take], left - take
+    return b" ".join(p for p in parts if p)
+
+
+def language_references(
+    docs: DataFrame,
+    learn: Column,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    reference_bytes: int = REFERENCE_BYTES,
+    reference_texts: int = REFERENCE_TEXTS,
+) -> list[Reference]:
+    """A reference for each language of the rows to learn from; of bounded size for each, made in a task of its own."""
     known = docs.filter(learn & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     named = known.select(F.col(lang_column).alias("lang"), F.xxhash64(text_column).alias("h"), F.col(text_column).alias("text"))
     # The first few texts of a language by hash; Spark keeps only so many of each task before it shuffles them.
     ranked = named.select("lang", "h").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    picked = F.broadcast(ranked.filter(F.col("rank") <= REFERENCE_TEXTS).select("lang", "h").distinct())
+    picked = F.broadcast(ranked.filter(F.col("rank") <= reference_texts).select("lang", "h").distinct())
     texts = named.join(picked, ["lang", "h"]).dropDuplicates(["lang", "h"])
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("h")
-        text = folded(np.frombuffer(" ".join(group["text"]).encode("utf-8"), np.uint8))
-        space = text == 32
-        text = text[~(space & np.append(False, space[:-1]))][:REFERENCE_BYTES]
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "text": [text.tobytes()]})
+        text = reference_text(group["text"].tolist(), group["h"].tolist(), reference_bytes)
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "text": [text]})
 
     found = texts.groupBy("lang").applyInPandas(build, "lang string, text binary").collect()  # one bounded row a language
     return [Reference.of(r["lang"], bytes(r["text"])) for r in sorted(found, key=lambda r: r["lang"]) if r["text"].strip()]

@@ -165,3 +165,21 @@ def test_a_rare_label_of_one_short_text_wins_nothing(spark):
         found = {r.doc_id: r for r in langid.identify_language(docs, references).collect()}
         assert all(found[k].lang_pred == lang for k, _, lang in rows)
         assert found[999].lang_pred == "aa"
+
+
+def test_a_reference_holds_a_part_of_every_sampled_text(spark):
+    from pyspark.sql import functions as F
+
+    words = [f"q{a}{b}z" for a in "abcde" for b in "fghij"]  # one for each text
+    docs = spark.createDataFrame([(k, f"{w} " * (6000 if k else 2), "en") for k, w in enumerate(words)], "doc_id long, text string, lang string")
+
+    def held(**bounds):
+        (reference,) = langid.language_references(docs, F.lit(True), **bounds)
+        counts = [langid.phrase_counts(b, [reference])[:, 0] for b in blocks(pa.array(words))]
+        return int((np.concatenate(counts) == 1).sum()), reference.size
+
+    found, size = held()
+    assert found == len(words) and langid.REFERENCE_BYTES - len(words) < size <= langid.REFERENCE_BYTES
+    assert held(reference_texts=5, reference_bytes=400) in {(5, n) for n in range(390, 401)}
+    assert langid.reference_text(["One, two", "", "\u00e9"], [0, 0, 0], 100) == "one two \u00e9".encode()
+    assert langid.reference_text(["abcdef", "xy"], [1, -1], 6) == b"bcd xy"

@@ -9,7 +9,8 @@ A url's own rule always stands.
 Everything is DataFrame functions; the links and the components stay distributed.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no
-rule and no aliases; relative links are resolved against their page; links that
+rule and no aliases; relative links are resolved against their page; of several
+canonical links or refreshes of a page all count; links that
 lead nowhere else are ignored; repeated rows stay repeated; an empty table gives
 an empty table; further columns are ignored.
 """
@@ -26,7 +27,7 @@ from lexloom.sources.scratch import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:["'](?:[^"'>]*\s)?canonical[\s"']|canonical[\s/>]))[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*\d+\s*;\s*url\s*=\s*['"]?([^"'\s>]+)"""
 
 
@@ -54,12 +55,23 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, its ``.`` and ``..`` segments resolved."""
+    segments = F.split(path, "/")
+    step = lambda done, s: (
+        F.when(s == ".", done).when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(s)))
+    )
+    kept = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"), step)
+    ends = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends, "/").otherwise(""))).otherwise(path)
+
+
 def url_key(url: Column) -> Column:
-    """What two urls of the same resource share: no fragment, scheme and host in lower case; null without a host."""
+    """What two urls of the same resource share: no fragment or dot segments, scheme and host in lower case; null without a host."""
     bare = F.substring_index(url, "#", 1)
     scheme = F.translate(F.substring_index(bare, "://", 1), UPPER, LOWER)
-    rest = F.regexp_extract(bare, r"(?s)^.*?://[^/?#]*(.*)$", 1)
-    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), rest))
+    query = F.regexp_extract(bare, PARTS + r"(.*)$", 3)
+    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), without_dots(path_of(bare)), query))
 
 
 def resolved(link: Column, page: Column) -> Column:
@@ -69,16 +81,19 @@ def resolved(link: Column, page: Column) -> Column:
     site = F.regexp_extract(page, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(path_of(page), r"(?s)^(.*/)", 1)
     return (
-        F.when(F.contains(link, F.lit("://")), link)
+        F.when(F.rlike(link, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), link)
+        .when(F.rlike(link, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None))  # mailto and the like
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
         .when(F.startswith(link, F.lit("/")), F.concat(site, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(site, path_of(page), link))
+        .when(F.startswith(link, F.lit("#")), page)
         .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), link))
     )
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b) keys of pages and where their canonical links and meta refreshes lead."""
-    links = pages.select(url, F.explode(F.array(F.regexp_extract(html, CANONICAL, 1), F.regexp_extract(html, REFRESH, 1))).alias("link"))
+    links = pages.select(url, F.explode(F.concat(*[F.regexp_extract_all(html, F.lit(p), 1) for p in (CANONICAL, REFRESH)])).alias("link"))
     links = links.filter((F.col("link") != "") & F.col(url).isNotNull())
     return links.select(url_key(F.col(url)).alias("a"), url_key(resolved(F.col("link"), F.col(url))).alias("b"))
 

@@ -135,3 +135,28 @@ def test_blocks_of_patterns_give_the_same(spark, monkeypatch):
     whole = decontaminate.find_benchmark_text(docs, items).collect()
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
     assert decontaminate.find_benchmark_text(docs, items).collect() == whole
+
+
+def test_every_link_of_a_page_is_an_alias(spark):
+    link = '<link rel="%s" href="%s">'
+    page = "http://s.net/a/b/page"
+    cases = {
+        "second canonical": (link % ("canonical", "http://other.net/1") + link % ("canonical", "http://b.com/de/1"), "http://b.com/de/1"),
+        "second refresh": ('<meta http-equiv=refresh content="1;url=http://other.net/2"><meta http-equiv=refresh content="1;url=http://b.com/de/2">', "http://b.com/de/2"),
+        "other rel tokens": (link % ("alternate canonical", "http://b.com/de/3"), "http://b.com/de/3"),
+        "canonical unquoted": ("<link href=http://b.com/de/4 rel=canonical>", "http://b.com/de/4"),
+        "dots": (link % ("canonical", "../.././de/./5?a=../x"), "http://s.net/de/5?a=../x"),
+        "dots at the end": (link % ("canonical", ".."), "http://s.net/a/"),
+        "dots above the root": (link % ("canonical", "../../../../../de/6"), "http://s.net/de/6"),
+        "dots of a whole url": (link % ("canonical", "http://b.com/x/../de/7"), "http://b.com/de/7"),
+        "query alone": (link % ("canonical", "?a=1"), page + "?a=1"),
+        "url in a query": (link % ("canonical", "/go?to=http://b.com/de/8"), "http://s.net/go?to=http://b.com/de/8"),
+    }
+    for name, (html, target) in cases.items():
+        pages = spark.createDataFrame([(1, page, html)], "page_id long, url string, html string")
+        assert target in {r.b for r in urlrules.page_links(pages).collect()}, name
+    nothing = [link % ("not-canonical", "http://b.com/de/9"), link % ("canonicals", "http://b.com/de/9"), link % ("canonical", "mailto:a@b?c=http://b.com/de/"), None]
+    pages = spark.createDataFrame([(k, page, html) for k, html in enumerate(nothing)], "page_id long, url string, html string")
+    assert {r.b for r in urlrules.page_links(pages).collect()} <= {None}
+    found = judged(spark, [(1, page, cases["second canonical"][0]), (2, "http://b.com/x/../de/1", None), (3, "http://s.net/q", link % ("canonical", "#top"))])
+    assert found[1].verdict == "block" and found[1].component == found[2].component and found[3].component is None

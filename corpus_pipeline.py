@@ -6,7 +6,9 @@ encoded.  A stage sees what the one before it kept, as a stored table.
 
 Defined results: a document without an id is kept by the join, which needs one to
 compare; rows that repeat an id and its text are one document there.  Null and
-empty texts, missing labels and empty tables are as in the operators.
+empty texts and empty tables are as in the operators.  Labels too few to fit a
+model (fewer than 20 to learn from, or one label only) tell nothing of a document, so
+a stage without a model keeps all.
 """
 
 from __future__ import annotations
@@ -29,12 +31,16 @@ _SCORE = "score of this stage"
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_package(spark)
     model = toxicity_model(docs, read_table(spark, sf_dir, "labels"))
+    if not model.fitted:
+        return docs
     return score_toxicity(docs, model, score_column=_SCORE).filter(F.col(_SCORE) < 0.5).drop(_SCORE)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_package(spark)
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
+    if not model.network.fitted:
+        return docs
     return score_quality(docs, model, score_column=_SCORE).filter(F.col(_SCORE) >= 0.5).drop(_SCORE)
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Most labelled rows that a classifier is fitted on.
 SAMPLE_ROWS = 20_000
+#: Fewest labelled rows that a classifier is fitted on.
+LEAST_ROWS = 20
 
 
 def fold(id_column: str, folds: int) -> Column:

@@ -10,8 +10,9 @@ average tokens were added.  Beside it stand how often a token repeats one within
 labelled texts; a part of them sets the temperature of its probabilities.
 
 Defined results: a null, empty or blank text is the mean of all texts and has the
-score the network gives to it; without labelled rows, or with one label only, every
-score is the share of good labels (1 without labels, so nothing is rejected);
+score the network gives to it; without labelled rows, with fewer than ``LEAST_ROWS``
+of them, or with one label only, no network is fitted (``Network.fitted``) and every
+score is the share of good labels (1 without labels), which says nothing of a text;
 repeated rows stay repeated; an empty table gives an empty table; further
 columns are ignored.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm.labelled import SAMPLE_ROWS, fold, labelled_sample, rows_with_text, sum_arrays
+from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text, sum_arrays
 from lexloom.llm.wordscan import ALPHANUMERIC, NOT_SPACE, Block, blocks, sum_by_row, words_of
 
 VOCABULARY_BITS = 14
@@ -118,11 +119,15 @@ class Network:
     b2: float = 0.0
     temperature: float = 1.0
 
+    @property
+    def fitted(self) -> bool:
+        return self.w1 is not None
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        if self.w1 is None:
+        if not self.fitted:
             return np.full(len(x), self.share)
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -50, 50)))
 
@@ -130,7 +135,7 @@ class Network:
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
     """Fit the network by Adam on four fifths of the rows, and its temperature on the rest."""
     share = float(y.mean()) if len(y) else 1.0
-    if len(y) < 20 or share in (0.0, 1.0):
+    if len(y) < LEAST_ROWS or share in (0.0, 1.0):
         return Network(share)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))

@@ -10,9 +10,11 @@ Fitting takes at most ``SAMPLE_ROWS`` labelled rows, in one task; three quarters
 grow the trees and the rest calibrates them.  Scoring reads whole texts.
 
 Defined results: a null or empty text has features of zero and the score the
-model gives to them; without any labelled row, or with one label only, every
-score is the share of toxic labels (0 without labels); repeated rows stay
-repeated; an empty table gives an empty table; further columns are ignored.
+model gives to them; without any labelled row, with fewer than ``LEAST_ROWS`` of
+them, or with one label only, no trees are fitted (``Model.fitted``) and every score
+is the share of toxic labels (0 without labels), which says nothing of a text;
+repeated rows stay repeated; an empty table gives an empty table; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm.boosting import BoostedTrees, isotonic
-from lexloom.llm.labelled import SAMPLE_ROWS, fold, labelled_sample, rows_with_text
+from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text
 from lexloom.llm.wordscan import ALPHANUMERIC, Block, Words, blocks, prefix_hashes, sum_by_row, words_of
 
 PREFIXES = (4, 5)
@@ -183,15 +185,19 @@ class Model:
     steps: tuple[np.ndarray, np.ndarray]  # raw scores and their calibrated values
     share: float
 
+    @property
+    def fitted(self) -> bool:
+        return self.trees is not None
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        if self.trees is None:
+        if not self.fitted:
             return np.full(len(x), self.share)
         return np.clip(np.interp(self.trees.raw(x), *self.steps), 0, 1)
 
 
 def fit(texts: list[str], labels: np.ndarray) -> Model:
     share = float(labels.mean()) if len(labels) else 0.0
-    if len(labels) < 20 or share in (0.0, 1.0):
+    if len(labels) < LEAST_ROWS or share in (0.0, 1.0):
         return Model(Lexicon(), None, (np.zeros(1), np.zeros(1)), share)
     grow = np.arange(len(labels)) % 4 != 3
     half = np.flatnonzero(grow) % 2 == 0  # each half is described by the lexicon of the other, as new texts are

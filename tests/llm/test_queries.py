@@ -56,3 +56,12 @@ def test_near_copies_keep_one_of_a_group(spark, odd_docs):
 def test_the_pipeline_runs_through(spark):
     result = corpus_pipeline.run(spark, FOLDER)
     assert 0 < result.count() < read_table(spark, FOLDER, "documents").count() and "ids" in result.columns
+
+
+def test_stages_keep_all_on_few_mixed_labels(spark, tmp_path):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('some text of document ', id) AS text").coalesce(1)
+    labels = spark.range(10).selectExpr("id AS doc_id", "cast(id % 5 = 0 AS int) AS quality", "cast(id % 5 <> 0 AS int) AS toxic").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (corpus_pipeline.toxicity, corpus_pipeline.quality):
+        assert sorted(r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()) == list(range(40)), stage.__name__

@@ -1,5 +1,7 @@
 """The registered queries: all rows of their tables, the columns asked for, and SQL where there is some."""
 
+import hashlib
+import re
 import sys
 from pathlib import Path
 
@@ -65,3 +67,58 @@ def test_stages_keep_all_on_few_mixed_labels(spark, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     for stage in (corpus_pipeline.toxicity, corpus_pipeline.quality):
         assert sorted(r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()) == list(range(40)), stage.__name__
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda c: c[0].lower(), text or "")
+
+
+def plain_copies(docs):
+    """Ids that are not the smallest of their component, by the Jaccard similarity of all pairs."""
+    grams = {}
+    for r in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower(r.text))
+        grams[r.doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    root = {k: k for k in grams}
+    for a in sorted(grams):
+        for b in sorted(grams):
+            both = len(grams[a] & grams[b]) if a < b else 0
+            if both and 100 * both >= 80 * len(grams[a] | grams[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if r == old else r for k, r in root.items()}
+    return {k for k, r in root.items() if k != r}
+
+
+def plain_contaminated(docs, items):
+    words = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    windows = {" %s " % " ".join(w[i : i + 10]) for w in map(words, items) if w for i in range(max(1, len(w) - 9))}
+    return {r.doc_id for r in docs if any(w in " %s " % " ".join(words(r.text)) for w in windows)}
+
+
+def test_stages_keep_exactly_what_plain_python_keeps(spark):
+    from tokenizers import Tokenizer
+
+    from lexloom.llm.queries import byte_vocabulary
+
+    docs = read_table(spark, FOLDER, "documents")
+    rows = docs.collect()
+    everything = {r.doc_id for r in rows}
+    assert len(everything) == len(rows)
+    gone = {
+        "toxicity": {r.doc_id for r in QUERIES["op6_toxicity"](spark, FOLDER).collect() if r.score >= 0.5},
+        "quality": {r.doc_id for r in QUERIES["op8_quality"](spark, FOLDER).collect() if r.score < 0.5},
+        "near_copies": plain_copies(rows),
+        "decontamination": plain_contaminated(rows, [r.text for r in read_table(spark, FOLDER, "benchmark").collect()]),
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert gone[name], name
+        assert sorted(r.doc_id for r in stage(spark, docs, FOLDER).collect()) == sorted(everything - gone[name]), name
+    library = Tokenizer.from_file(byte_vocabulary())
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    found = {r.doc_id: r for r in corpus_pipeline.encoding(spark, docs, FOLDER).collect()}
+    assert found.keys() == everything
+    for r in rows:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        got = found[r.doc_id]
+        assert (got.ids, got.n_tokens, got.ids_sha256) == (ids, len(ids), digest(",".join(map(str, ids)))), r.doc_id
+        assert r.text is None or got.decoded_sha256 == digest(r.text)

@@ -15,6 +15,7 @@ from lexloom.llm.ngramjoin import ngram_jaccard_join
 from lexloom.llm.quality import quality_model, score_quality
 from lexloom.llm.repair import read_token_shards, write_token_shards
 from lexloom.llm.storage import reach_package
+from lexloom.llm.tokencounts import count_tokens
 from lexloom.llm.toxicity import score_toxicity, toxicity_model
 from lexloom.llm.urlrules import Rule, judge_urls
 from lexloom.llm.vectors import near_vectors
@@ -23,6 +24,7 @@ from lexloom.queries.registry import Query
 from lexloom.sources.readers import read_table
 
 END_ID = 2
+TOKEN_LIMIT = 512
 
 
 def byte_vocabulary() -> str:
@@ -109,6 +111,11 @@ def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = count_tokens(read_table(spark, folder, "documents"), byte_vocabulary())
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def _reaching(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,6 +138,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_decontaminate,
         op10_token_shards,
+        op12_token_counts,
     )
 }
 

@@ -11,6 +11,7 @@ from lexloom.llm.bpe import bpe_decode, bpe_encode
 from lexloom.llm.decontaminate import find_benchmark_text
 from lexloom.llm.labelled import fold
 from lexloom.llm.langid import identify_language, language_references
+from lexloom.llm.merkle import merkle_manifest, proof_digest
 from lexloom.llm.ngramjoin import ngram_jaccard_join
 from lexloom.llm.quality import quality_model, score_quality
 from lexloom.llm.repair import read_token_shards, write_token_shards
@@ -116,6 +117,20 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+_UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    # A row without an id is left as it is.
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    found = merkle_manifest(docs, claims={"text": F.translate("text", _UPPER, _LOWERED)}, claimed=tampered)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def _reaching(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,10 +154,17 @@ QUERIES: dict[str, Query] = {
         op9_decontaminate,
         op10_token_shards,
         op12_token_counts,
+        op13_merkle,
     )
 }
 
+# CRC-32 of ASCII text, byte by byte through its table.
+_CRC = """list_reduce(list_transform(list_concat([''], string_split({}, '')), lambda c: CASE WHEN c = '' THEN 4294967295 ELSE ascii(c)::BIGINT END),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"""
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1],
+      lambda c, one: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_VALUE = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
 _REACH = """reach AS (SELECT {id} AS node, {id} AS other FROM {table}
       UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.other = link.a),
     component AS (SELECT node, MIN(other) AS component_id FROM reach GROUP BY node)"""
@@ -191,4 +213,33 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM worded LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_merkle": f"""WITH RECURSIVE {_CRC_TABLE},
+    valued AS (SELECT doc_id, coalesce('=' || lang, '-') AS k, {{}} AS head, text,
+      coalesce(xor({_CRC.format("CAST(doc_id AS VARCHAR)")}, 4294967295) % 3 = 0, false) AS changed FROM documents, crc_table),
+    hashed AS (SELECT doc_id, k, sha256(head || {{}}) AS leaf,
+      sha256(head || CASE WHEN changed THEN {{}} ELSE {{}} END) AS claimed FROM valued),
+    leaf AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, COUNT(*) OVER (PARTITION BY k) AS n FROM hashed),
+    node AS (SELECT k, 0 AS level, i, leaf AS digest, n FROM leaf
+      UNION ALL SELECT k, level + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY k, level, i // 8, n),
+    top AS (SELECT 0 AS level, row_number() OVER (ORDER BY k) - 1 AS i, k, digest, COUNT(*) OVER () AS n FROM node WHERE n = 1
+      UNION ALL SELECT level + 1, i // 8, NULL, sha256(string_agg(digest, '' ORDER BY i)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, i // 8, n),
+    every AS (SELECT k, level, i, digest, n FROM node UNION ALL SELECT '', level, i, digest, n FROM top),
+    beside AS (SELECT a.k, a.level, a.i, coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l,
+      coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+      FROM every a LEFT JOIN every b ON a.k = b.k AND a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.k, a.level, a.i),
+    fold AS (SELECT k, i AS leaf_no, k AS at, 0 AS level, i, claimed AS digest, '' AS proof FROM leaf
+      UNION ALL SELECT * FROM (
+        SELECT f.k, f.leaf_no, f.at, f.level + 1, f.i // 8, sha256(l || f.digest || r), proof || l || r
+          FROM fold f JOIN beside b ON f.at = b.k AND f.level = b.level AND f.i = b.i
+        UNION ALL SELECT f.k, f.leaf_no, '', 0, t.i, f.digest, proof
+          FROM fold f JOIN node s ON f.at = s.k AND s.n = 1 AND f.level = s.level JOIN top t ON t.k = f.at AND t.level = 0)),
+    folded AS (SELECT f.* FROM fold f JOIN top t ON f.at = '' AND t.level = f.level AND t.i = f.i WHERE t.n = 1)
+    SELECT leaf.doc_id, leaf.leaf, s.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256, f.digest AS folded_root,
+      f.digest = root.digest AS verified
+    FROM leaf JOIN folded f ON leaf.k = f.k AND leaf.i = f.leaf_no JOIN node s ON s.k = leaf.k AND s.n = 1, (SELECT digest FROM top WHERE n = 1) AS root""".format(
+        " || ".join(_VALUE.format(c) for c in ("doc_id", "source", "lang", "n_chars")),
+        _VALUE.format("text"),
+        _VALUE.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"),
+        _VALUE.format("text"),
+    ),
 }

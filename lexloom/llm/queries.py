@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.bpe import bpe_decode, bpe_encode
+from lexloom.llm.conversation import repair_conversations
 from lexloom.llm.decontaminate import find_benchmark_text
 from lexloom.llm.labelled import fold
 from lexloom.llm.langid import identify_language, language_references
@@ -112,6 +113,31 @@ def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults, the same for everyone: rows lost, emptied, cut, repeated or spoken by the user."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind, spoken = F.col("damage"), F.coalesce("text", F.lit(" "))
+    found = rows.select("conv_id", "turn", "role", "text", (F.crc32(name.cast("binary")) % 20).alias("damage")).filter("damage <> 0")
+    return found.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(spoken, ".!?", "")).otherwise(spoken).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "conversations")
+    found = repair_conversations(damaged(rows)).withColumnRenamed("conv_id", "__conv")
+    # Conversations that lost all rows are empty.
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("__conv")), "left")
+    counts = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(read_table(spark, folder, "documents"), byte_vocabulary())
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -153,6 +179,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_decontaminate,
         op10_token_shards,
+        op11_conversations,
         op12_token_counts,
         op13_merkle,
     )
@@ -213,6 +240,41 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM worded LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # Forward over the rows, the cheapest and then ASCII-least edits into each state; the edits and lines grow along.
+    "op11_conversations": f"""WITH RECURSIVE {_CRC_TABLE},
+    broken AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      xor({_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}, 4294967295) % 20 AS d FROM conversations, crc_table),
+    damaged AS (SELECT coalesce(CAST(conv_id AS VARCHAR), '') AS k, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+      CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN d = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM broken WHERE d <> 0),
+    placed AS (SELECT *, rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS words,
+      row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place FROM damaged),
+    seen AS (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY place) > 1 AS again, left(role, 1) AS initial,
+      lag(left(role, 1)) OVER (PARTITION BY k ORDER BY place) AS initial_before FROM placed),
+    turns AS (SELECT *, CASE WHEN words = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(words, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen),
+    walk AS (SELECT k, CAST(0 AS BIGINT) AS place, s AS state, CAST(c AS BIGINT) AS cost, a AS audit, o AS lines
+        FROM (SELECT DISTINCT k FROM turns), (VALUES (0, 0, '', []::VARCHAR[]), (2, 5, 'I', ['user:']), (3, 10, 'II', ['user:', 'assistant:'])) AS t(s, c, a, o)
+      UNION ALL SELECT k, place, state, best.cost, best.audit, best.lines FROM (
+        SELECT k, place, state, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS best FROM (
+          SELECT k, place, unnest([{{'state': state, 'cost': cost, 'audit': audit, 'lines': lines}},
+              {{'state': CASE WHEN state = 2 THEN 3 ELSE 2 END, 'cost': cost + 5, 'audit': audit || 'I', 'lines': lines || [CASE WHEN state = 2 THEN 'assistant:' ELSE 'user:' END]}},
+              {{'state': CASE WHEN state = 2 THEN 2 ELSE 3 END, 'cost': cost + 10, 'audit': audit || 'II',
+                'lines': lines || CASE WHEN state = 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END}}], recursive := true)
+          FROM (SELECT w.k, t.place, unnest([{{'state': state, 'cost': cost + 2, 'audit': audit || 'D', 'lines': lines, 'fits': true}},
+              {{'state': CASE WHEN state = 2 THEN 3 ELSE 2 END, 'cost': cost + 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'audit': audit || 'R',
+                'lines': lines || [CASE WHEN state = 2 THEN 'assistant:' ELSE 'user:' END || text], 'fits': fault NOT IN ('blank', 'duplicate')}},
+              {{'state': CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'cost': cost + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'audit': audit || 'K',
+                'lines': lines || [role || ':' || text], 'fits': fault NOT IN ('blank', 'duplicate') AND (state, initial) IN ((0, 's'), (0, 'u'), (1, 'u'), (2, 'a'), (3, 'u'))}}], recursive := true)
+            FROM walk w JOIN turns t ON w.k = t.k AND t.place = w.place + 1) WHERE fits)
+        GROUP BY k, place, state)),
+    ended AS (SELECT k, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS best FROM walk JOIN (SELECT k, MAX(place) AS place FROM turns GROUP BY k) USING (k, place)
+      WHERE state IN (0, 3) GROUP BY k),
+    counted AS (SELECT k, coalesce(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (fault = 'blank') AS blank,
+      COUNT(*) FILTER (fault = 'duplicate') AS duplicate, COUNT(*) FILTER (fault = 'truncated') AS truncated,
+      COUNT(*) FILTER (initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY k)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+      coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ended ON coalesce(CAST(conv_id AS VARCHAR), '') = ended.k LEFT JOIN counted ON counted.k = ended.k""",
     "op13_merkle": f"""WITH RECURSIVE {_CRC_TABLE},
     valued AS (SELECT doc_id, coalesce('=' || lang, '-') AS k, {{}} AS head, text,
       coalesce(xor({_CRC.format("CAST(doc_id AS VARCHAR)")}, 4294967295) % 3 = 0, false) AS changed FROM documents, crc_table),

@@ -25,6 +25,7 @@ COLUMNS = {
     "op6_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op8_quality": ["doc_id", "held_out", "score", "predicted"],
     "op10_token_shards": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op12_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
 }
 
 

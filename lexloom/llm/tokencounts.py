@@ -20,9 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,16 +96,29 @@ def _rows(found: StateMap) -> list[dict]:
     return [{"entry": entry, "exit": end, "gained": gained} for entry, (end, gained) in found.items()]
 
 
-def _scan(rows: pd.DataFrame) -> tuple[StateMap, bool]:
-    """The map of neighbouring stretches as one: the last of their prefix maps."""
-    total, first_certain = None, False
-    for steps, certain in zip(rows["map"], rows["certain"]):
-        step = {r["entry"]: (r["exit"], int(r["gained"])) for r in steps}
-        if total is None:
-            total, first_certain = step, bool(certain)
-        else:
-            total = compose(total, step, bool(certain))
-    return total, first_certain
+def _composed(stretches: Column) -> Column:
+    """The map of neighbouring stretches (chunk, certain, map) as one, as ``compose`` puts two together."""
+
+    def through(total: Column, stretch: Column) -> Column:
+        def enter(a: Column) -> Column:
+            fits = F.filter(stretch["map"], lambda s: stretch["certain"] | (s["entry"] == a["exit"]))
+            return F.transform(fits, lambda s: F.struct(a["entry"].alias("entry"), s["exit"].alias("exit"), (a["gained"] + s["gained"]).alias("gained")))
+
+        return F.flatten(F.transform(total, enter))
+
+    rest = F.slice(stretches, F.lit(2), F.size(stretches))
+    return F.aggregate(rest, stretches[0]["map"], through)
+
+
+def _joined(level: DataFrame, *by: Column) -> DataFrame:
+    """One row for neighbouring stretches; equal rows of the table have equal maps and stay counted."""
+    stretches = F.sort_array(F.collect_set(F.struct("chunk", "certain", "map")))
+    met = level.groupBy("id", "row", "n_bytes", *by).agg(stretches.alias("s"), F.sum("copies").alias("rows"))
+    return met.select(
+        "id", "row", "n_bytes", F.expr(f"s[0].chunk div {FAN}").cast("int").alias("chunk"),
+        (F.col("rows") / F.size("s")).cast("long").alias("copies"),
+        F.col("s")[0]["certain"].alias("certain"), _composed(F.col("s")).alias("map"),
+    )
 
 
 def count_tokens(
@@ -129,7 +141,7 @@ def count_tokens(
 
     row = [T.StructField("id", kind), T.StructField("row", T.LongType()), T.StructField("n_bytes", T.LongType())]
     cut_out = T.StructType([*row, T.StructField("chunk", T.IntegerType()), T.StructField("before", T.StringType()), T.StructField("text", T.StringType())])
-    map_out = T.StructType([*row, T.StructField("chunk", T.IntegerType()), T.StructField("copies", T.LongType()), T.StructField("certain", T.BooleanType()), T.StructField("map", _MAP)])
+    map_out = T.StructType([*row, T.StructField("chunk", T.IntegerType()), T.StructField("certain", T.BooleanType()), T.StructField("map", _MAP)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,24 +171,16 @@ def count_tokens(
                 yield pa.RecordBatch.from_arrays(
                     [
                         *rows.columns[:4],
-                        pa.array([1] * rows.num_rows, pa.int64()),
                         pa.array([c for _, c in found]),
                         pa.array([_rows(m) for m, _ in found], _MAP_ARROW),
                     ],
                     map_out.names,
                 )
 
-    def joined(rows: pd.DataFrame) -> pd.DataFrame:
-        """One row for neighbouring stretches; equal rows of the table meet here and stay counted."""
-        rows = rows.sort_values("chunk", kind="stable")
-        copies = int(rows.loc[rows["chunk"] == rows["chunk"].iloc[0], "copies"].sum())
-        total, certain = _scan(rows.drop_duplicates("chunk"))
-        return rows.head(1)[["id", "row", "n_bytes"]].assign(chunk=rows["chunk"].iloc[0] // FAN, copies=copies, certain=certain, map=[_rows(total)])
-
     pieces = long.select("id", F.xxhash64("id", "text").alias("row"), "n_bytes", "text").mapInArrow(cut, cut_out)
     level = pieces.repartition("row", "chunk").mapInArrow(maps, map_out)
-    level = level.groupBy("id", "row", F.expr(f"chunk div {FAN}")).applyInPandas(joined, map_out)
-    level = level.groupBy("id", "row").applyInPandas(joined, map_out)
+    level = _joined(level.withColumn("copies", F.lit(1)), F.expr(f"chunk div {FAN}").alias("block"))
+    level = _joined(level)
     # The first chunk is entered in the start state; no entry left means that a state was in no map.
     tall = materialize(level.select("id", "row", "n_bytes", "copies", F.get("map", 0)["gained"].alias("n_tokens")), "token-counts")
     known = tall.filter("n_tokens IS NOT NULL").select("id", "n_bytes", "n_tokens", F.expr("explode(sequence(1L, copies))"))

@@ -12,8 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.session import shuffle_width
+
 # Dimensions up to this size are attached to every fact row as an array.
 ARRAY_DIMENSION_ROWS = 1_000
+# Join keys per task of a shuffle, to even out hashing.
+SALTED_TASKS = 4
 
 
 def bridge(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -83,9 +87,13 @@ def pair_with_all(
         pairs = paired.select(*fact.columns, *[F.col("__row")[c].alias(c) for c in slim.columns])
     else:
         buckets = slim.count() // ARRAY_DIMENSION_ROWS + 1
-        keyed = slim.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        repeated = fact.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1).cast("int"))))
-        pairs = repeated.join(keyed, "__bucket").drop("__bucket")
+        # Few buckets would be few join keys with all facts each: a salt from the fact's hash deals them out,
+        # and the dimension is repeated once per salt.
+        salts = max(1, SALTED_TASKS * shuffle_width(fact.sparkSession) // buckets)
+        numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1).cast("int")))
+        keyed = slim.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).withColumn("__salt", numbers(salts))
+        repeated = fact.withColumn("__salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")).withColumn("__bucket", numbers(buckets))
+        pairs = repeated.join(keyed, ["__bucket", "__salt"]).drop("__bucket", "__salt")
     return pairs if applies is None else pairs.filter(applies)
 
 

@@ -32,6 +32,22 @@ def _citing(level: DataFrame, edges: DataFrame) -> DataFrame:
     return level.join(edges.select(F.col("source").alias("citing"), "target"), F.col("node") == F.col("target")).drop("target")
 
 
+def chain_sql(seed: str, edges: str, names: str, max_depth: int) -> str:
+    """The same chain as one recursive query over views; ``seed`` is a condition on ``node``.
+
+    The views have the columns that ``citation_chain`` asks of its tables.  Spark ends the recursion with an error
+    beyond ``spark.sql.cteRecursionRowLimit`` rows (a million by default) or ``spark.sql.cteRecursionLevelLimit``
+    levels (100); a cycle ends at ``max_depth`` only.  ``citation_chain`` has no such limits.
+    """
+    return f"""WITH RECURSIVE chain (node, name, depth, path) AS (
+        SELECT node, name, 0, name FROM {names} WHERE {seed}
+        UNION ALL
+        SELECT e.source, n.name, depth + 1, concat(path, '{PATH_SEPARATOR}', n.name)
+        FROM chain JOIN {edges} e ON e.target = chain.node JOIN {names} n ON n.node = e.source
+        WHERE depth < {max_depth})
+      SELECT node, name, depth, path FROM chain"""
+
+
 def citation_chain(seeds: DataFrame, edges: DataFrame, names: DataFrame, max_depth: int = 3) -> DataFrame:
     """All citation paths that end in a seed, with depth and path text.
 

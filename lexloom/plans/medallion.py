@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions.celex import with_celex_components, with_doc_type_label
 from lexloom.functions.text import with_clean_text
 from lexloom.operators.groups import one_row_per_key
 from lexloom.plans.quality import assert_silver_quality
-from lexloom.schemas import GOLD_DOCUMENTS_SCHEMA, SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
-from lexloom.sources.readers import read_corpus, read_parquet
+from lexloom.schemas import BRONZE_SCHEMA, GOLD_DOCUMENTS_SCHEMA, SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
+from lexloom.sources.readers import REJECTED, read_corpus, read_json_lines, read_parquet
 from lexloom.sources.writers import overwrite, overwrite_compact, overwrite_partitioned, stored_rows
 
 
@@ -27,6 +29,31 @@ def ingest(
     return stored_rows(spark, output)
 
 
+@dataclass(frozen=True)
+class JsonIngest:
+    """What an ingest of JSON lines stored and what it set aside."""
+
+    rows: int
+    rejected: int
+
+
+def ingest_json(spark: SparkSession, source: str, output: str, rejects: str) -> JsonIngest:
+    """Store a JSON-lines corpus in bronze shape; lines that do not fit go to ``rejects`` with their file.
+
+    Both counts come from the write.  The source is read again only if there are lines to set aside.
+    """
+    lines = read_json_lines(spark, source, BRONZE_SCHEMA)
+    counts = Observation()
+    bad = F.col(REJECTED).isNotNull()
+    counted = lines.observe(counts, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+    overwrite(counted.filter(~bad).select(*BRONZE_SCHEMA.names), output)
+    found = JsonIngest(**counts.get)
+    # With what could be read of the record: all of it, since Spark only checks the columns it reads.
+    aside = lines.select(F.col("_metadata.file_path").alias("file"), F.col(REJECTED).alias("line"), F.struct(*BRONZE_SCHEMA.names).alias("read"))
+    overwrite(aside.filter("line IS NOT NULL") if found.rejected else spark.createDataFrame([], aside.schema), rejects)
+    return found
+
+
 def to_silver(bronze: DataFrame) -> DataFrame:
     """Parsed, labelled and cleaned documents: narrow work, no shuffle."""
     steps = bronze.transform(with_celex_components).transform(with_doc_type_label).transform(with_clean_text)

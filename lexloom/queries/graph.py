@@ -6,7 +6,7 @@ derived from all of ``lineitem``; chains start from one part.
 
 from pyspark.sql import functions as F
 
-from lexloom.operators.references import citation_chain, reach, successor_edges
+from lexloom.operators.references import chain_sql, citation_chain, reach, successor_edges
 from lexloom.queries.registry import query
 from lexloom.sources.readers import read_table
 
@@ -30,19 +30,27 @@ def reference_edges(spark, folder):
     return _edges(spark, folder)
 
 
-@query(
-    "ref_chain",
-    f"""WITH RECURSIVE {EDGES_SQL}, chain AS (
+CHAIN_SQL = f"""WITH RECURSIVE {EDGES_SQL}, chain AS (
       SELECT p_partkey AS node, p_name AS name, 0 AS depth, p_name AS path FROM part WHERE p_partkey = {SEED}
       UNION ALL SELECT p_partkey, p_name, depth + 1, path || ' → ' || p_name FROM chain
         JOIN e ON node = target JOIN part ON source = p_partkey WHERE depth < 3)
-    SELECT node, name, depth, path FROM chain""",
-)
+    SELECT node, name, depth, path FROM chain"""
+
+
+@query("ref_chain", CHAIN_SQL)
 def ref_chain(spark, folder):
     nodes = _nodes(spark, folder)
     return citation_chain(nodes.filter(F.col("node") == SEED), _edges(spark, folder), nodes, max_depth=3)
 
 
+@query("ref_chain_sql", CHAIN_SQL)
+def ref_chain_sql(spark, folder):
+    """The chain as users write it, a recursive query over views."""
+    _edges(spark, folder).createOrReplaceTempView("citation")
+    _nodes(spark, folder).createOrReplaceTempView("cited_part")
+    return spark.sql(chain_sql(f"node = {SEED}", "citation", "cited_part", max_depth=3))
+
+
 @query(
     "ref_reach",
     f"""WITH RECURSIVE {EDGES_SQL}, chain AS (

@@ -76,18 +76,18 @@ def trend_by_topic(spark, folder):
 
 @query(
     "topic_ranking",
-    f"""WITH {BRIDGE_SQL}, per_topic AS (SELECT p_brand, round(SUM(o_totalprice), 2) AS total
+    f"""WITH {BRIDGE_SQL}, per_topic AS (SELECT p_brand, SUM(o_totalprice) AS total
       FROM orders JOIN b ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_brand)
-    SELECT row_number() OVER (ORDER BY total DESC, p_brand) AS ranking, p_brand, total
+    SELECT row_number() OVER (ORDER BY total DESC, p_brand) AS ranking, p_brand, round(total, 2) AS total
     FROM per_topic ORDER BY ranking""",
 )
 def topic_ranking(spark, folder):
     priced = _bridge(spark, folder).join(orders(spark, folder).select("o_orderkey", "o_totalprice"), "o_orderkey")
     per_part = priced.groupBy("l_partkey").agg(total("o_totalprice").alias("part_total"))
     joined = per_part.join(_parts(spark, folder, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    per_topic = materialize(joined.groupBy("p_brand").agg(total("part_total", 2).alias("total")), "topic-totals")
+    per_topic = materialize(joined.groupBy("p_brand").agg(total("part_total").alias("total")), "topic-totals")
     numbered = ranked(per_topic, order_by=[Desc("total")], tie_break=["p_brand"], row_number="ranking")
-    return numbered.select("ranking", "p_brand", "total").orderBy("ranking")
+    return numbered.select("ranking", "p_brand", F.round("total", 2).alias("total")).orderBy("ranking")
 
 
 @query(

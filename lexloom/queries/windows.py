@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 from lexloom.functions.numbers import as_whole, mean, percent_of, total
 from lexloom.operators.groups import with_group_values
 from lexloom.operators.ranked import Desc, ranked
+from lexloom.operators.running import running
 from lexloom.operators.trends import with_previous
 from lexloom.queries.model import BRIDGE_SQL, order_day, orders, topic_bridge
 from lexloom.queries.registry import query
 from lexloom.sources.readers import read_table
 from lexloom.sources.scratch import materialize
 
-SUM_OVER = "round(SUM(o_totalprice) OVER (PARTITION BY o_orderpriority), 2)"
+SUM_OVER = "SUM(o_totalprice) OVER (PARTITION BY o_orderpriority)"
 
 
 def _priced(spark, folder):
@@ -171,13 +172,43 @@ def running_total(spark, folder):
     return with_previous(_per_year(spark, folder), "yr", "n").select("yr", "n", "running_total").orderBy("yr")
 
 
+RUNNING_SQL = """SELECT o_orderkey, {keys}CAST(o_orderdate AS DATE) AS day,
+      CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) OVER w AS DOUBLE) AS total, COUNT(*) OVER w AS orders_so_far,
+      MIN(o_totalprice) OVER w AS least, MAX(o_totalprice) OVER w AS most
+    FROM orders WINDOW w AS ({by}ORDER BY CAST(o_orderdate AS DATE))"""
+
+
+def _running(spark, folder, *groups):
+    placed = orders(spark, folder).select("o_orderkey", *groups, order_day().alias("day"), "o_totalprice")
+    values = {
+        "total": ("sum", F.col("o_totalprice").cast("decimal(18,2)")),
+        "orders_so_far": ("count", F.lit(1)),
+        "least": ("min", "o_totalprice"),
+        "most": ("max", "o_totalprice"),
+    }
+    return running(placed, ["day"], values, partition_by=groups).drop("o_totalprice").withColumn("total", F.col("total").cast("double"))
+
+
+@query("running_by_day", RUNNING_SQL.format(keys="", by=""))
+def running_by_day(spark, folder):
+    """Every order with the totals up to its day, days being peers; no task sees all days."""
+    return _running(spark, folder)
+
+
+@query("running_by_day_each_priority", RUNNING_SQL.format(keys="o_orderpriority, ", by="PARTITION BY o_orderpriority "))
+def running_by_day_each_priority(spark, folder):
+    return _running(spark, folder, "o_orderpriority")
+
+
 @query(
     "pct_of_group",
-    f"SELECT o_orderkey, o_orderpriority, o_totalprice, {SUM_OVER} AS type_total, round(100.0::DOUBLE * o_totalprice / {SUM_OVER}, 4) AS pct FROM orders",
+    f"""SELECT o_orderkey, o_orderpriority, o_totalprice, round({SUM_OVER}, 2) AS type_total,
+      round(100.0::DOUBLE * o_totalprice / nullif({SUM_OVER}, 0), 4) AS pct FROM orders""",
 )
 def pct_of_group(spark, folder):
-    rows = with_group_values(_priced(spark, folder), ["o_orderpriority"], {"type_total": total("o_totalprice", 2)})
-    return rows.withColumn("pct", percent_of(F.col("o_totalprice"), F.col("type_total"), 4))
+    rows = with_group_values(_priced(spark, folder), ["o_orderpriority"], {"type_total": total("o_totalprice")})
+    whole = F.nullif(F.col("type_total"), F.lit(0.0))  # a group without an amount has no shares
+    return rows.withColumn("pct", percent_of(F.col("o_totalprice"), whole, 4)).withColumn("type_total", F.round("type_total", 2))
 
 
 NTILE_SQL = """SELECT o_orderkey, o_totalprice, CAST(q AS INTEGER) AS quartile, CASE q WHEN 1 THEN 'simple' WHEN 2 THEN 'moderate'

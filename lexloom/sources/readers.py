@@ -31,6 +31,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, date_fo
     return spark.read.option("header", True).option("dateFormat", date_format).schema(schema).csv(path)
 
 
+#: Holds the line of a record that does not fit the schema, else NULL.
+REJECTED = "_corrupt_record"
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines bound to a schema, without an inference pass.
+
+    Every line is a row; one that is no JSON or holds a value of another type has its text in ``REJECTED``.
+    """
+    fields = [*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField(REJECTED, T.StringType())]
+    reader = spark.read.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED)
+    return reader.json(path)
+
+
 def register_views(spark: SparkSession, folder: str, names: list[str]) -> None:
     """Make tables of a folder addressable by name in ``spark.sql``."""
     for name in names:

@@ -28,6 +28,20 @@ def overwrite_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> N
     df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Replace the directories that ``df`` has rows for; all others keep their files.
+
+    New files are staged and moved when all are written, so ``df`` may read from ``path``.
+    """
+    rows = df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy(*columns).parquet(path)
+
+
+def overwrite_json(df: DataFrame, path: str) -> None:
+    """One JSON object a line."""
+    df.write.mode("overwrite").json(path)
+
+
 def overwrite_compact(df: DataFrame, path: str, files: int | None = None) -> None:
     """Overwrite with as few files as the size warrants.
 

@@ -16,7 +16,7 @@ from lexloom.queries import oracles, queries  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the testdata tables")
 
-FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups")
+FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups")
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,10 @@ def test_query(spark, oracle, name):
     result = queries()[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not FORBIDDEN.search(plan)
-    assert compare(result, oracle.sql(oracles()[name])) is None
+    if name in oracles():
+        assert compare(result, oracle.sql(oracles()[name])) is None
+    else:
+        assert name == "layout_report" and result.count()  # bytes are the encoder's
 
 
 def test_the_driver_sees_every_query():

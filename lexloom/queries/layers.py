@@ -12,7 +12,10 @@ from lexloom.plans.medallion import (
     ingest,
     read_silver,
     silver_to_gold,
+    to_silver,
 )
+from lexloom.plans.changes import apply_changes, read_gold
+from lexloom.plans.costore import compact_files
 from lexloom.queries.model import BRIDGE_SQL, BRONZE_SQL, SILVER_SQL, bronze, order_day, orders, silver, topic_bridge
 from lexloom.queries.registry import query
 from lexloom.schemas import SILVER_PARTITION_COLUMNS
@@ -148,6 +151,29 @@ def layout_rows(spark, folder):
     return found.select("year", "doc_type", "rows", "files", (F.col("bytes") > F.col("rows")).alias("filled"))
 
 
+@query(
+    "compact_layer",
+    f"""WITH {SILVER_SQL} SELECT year, doc_type, COUNT(*) AS rows, CAST(SUM(length(text)) AS BIGINT) AS chars,
+      COUNT(DISTINCT doc_id % 4) AS files_before, CAST(1 AS BIGINT) AS files_after FROM silver GROUP BY year, doc_type""",
+)
+def compact_layer(spark, folder):
+    """A layer that four small runs appended to, brought together: the same rows in one file a directory."""
+    path = fresh_path(spark, "silver-small-files")
+    raw = bronze(spark, folder)
+    for turn in range(4):
+        to_silver(raw.filter(F.col("doc_id") % 4 == turn)).hint("rebalance", *SILVER_PARTITION_COLUMNS).write.mode("append").partitionBy(*SILVER_PARTITION_COLUMNS).parquet(path)
+    before = layout_report(read_parquet(spark, path), SILVER_PARTITION_COLUMNS)
+    before = spark.createDataFrame(before.collect(), before.schema)  # one row a directory, as it was
+    compact_files(spark, path, SILVER_PARTITION_COLUMNS)
+    stored = read_silver(spark, path).groupBy(*SILVER_PARTITION_COLUMNS).agg(F.sum(F.length("text").cast("long")).alias("chars"))
+    after = layout_report(read_parquet(spark, path), SILVER_PARTITION_COLUMNS)
+    by_place = lambda df, prefix: df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns})
+    out = after
+    for other, prefix in ((by_place(before, "b_"), "b_"), (by_place(stored, "s_"), "s_")):
+        out = out.join(other, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in SILVER_PARTITION_COLUMNS])
+    return out.select(*SILVER_PARTITION_COLUMNS, "rows", F.col("s_chars").alias("chars"), F.col("b_files").alias("files_before"), F.col("files").alias("files_after"))
+
+
 @query(
     "insert_select",
     """SELECT kind, COUNT(*) AS pairs, COUNT(DISTINCT l_orderkey) AS docs FROM (
@@ -223,6 +249,42 @@ def gold_single_files(spark, folder):
     return files[0].unionByName(files[1]).unionByName(files[2])
 
 
+LEFT_SQL = f"""{SILVER_SQL}, left_over AS (SELECT silver.* FROM silver JOIN documents USING (doc_id) WHERE n_chars % 7 <> 5)"""
+
+
+def _gold_in_batches(spark, folder):
+    """A third of the corpus with old titles, a third more, then the rest, the right titles, and a seventh that is gone."""
+    path = fresh_path(spark, "gold-by-year")
+    raw, n = bronze(spark, folder, "n_chars"), F.col("n_chars")
+    none = raw.select("celex_id").limit(0)
+    old = raw.filter(n % 3 == 0).withColumn("title", F.lit("old"))
+    apply_changes(spark, to_silver(old), none, path)
+    apply_changes(spark, to_silver(raw.filter(n % 3 == 1)), none, path)
+    apply_changes(spark, to_silver(raw.filter((n % 3 != 1) & (n % 7 != 5))), raw.filter(n % 7 == 5).select("celex_id"), path)
+    return read_gold(spark, path)
+
+
+@query(
+    "gold_in_batches",
+    f"WITH {LEFT_SQL}, {GOLD_DOCUMENTS_SQL.replace('FROM silver', 'FROM left_over')} SELECT celex_id, title, year, doc_type, doc_type_label, md5(text) AS text_md5 FROM documents_node",
+)
+def gold_in_batches(spark, folder):
+    """Nodes after three change sets: those of one full build."""
+    return _gold_in_batches(spark, folder)["documents"].withColumn("text_md5", F.md5("text")).drop("text")
+
+
+@query(
+    "gold_edges_in_batches",
+    f"""WITH {LEFT_SQL}, {GOLD_EDGES_SQL.replace('FROM silver', 'FROM left_over')} SELECT celex_id, eurovoc_code FROM edge
+    UNION ALL SELECT NULL, eurovoc_code FROM (SELECT DISTINCT eurovoc_code FROM edge)""",
+)
+def gold_edges_in_batches(spark, folder):
+    """Edges, and topics as rows without a document."""
+    tables = _gold_in_batches(spark, folder)
+    topics = tables["topics"].select(F.lit(None).cast("string").alias("celex_id"), "eurovoc_code")
+    return tables["belongs_to"].unionByName(topics)
+
+
 @query("collect_topics", f"""WITH {BRIDGE_SQL}, numbered AS (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS rn FROM b)
     SELECT l_orderkey, CAST((rn - 1) // 1000 AS INTEGER) AS chunk, CAST(COUNT(*) AS INTEGER) AS n_topics,

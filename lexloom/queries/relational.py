@@ -9,6 +9,7 @@ from lexloom.functions.dates import in_years
 from lexloom.functions.numbers import as_whole, mean, total
 from lexloom.operators.bridges import full_outer, left_counts, links_per, pair_with_all, star
 from lexloom.operators.groups import duplicated_keys, null_counts, orphan_keys, with_defaults
+from lexloom.operators.quantiles import summary
 from lexloom.queries.model import BRIDGE_SQL, order_day, orders, topic_bridge
 from lexloom.queries.registry import query
 from lexloom.sources.readers import read_table
@@ -217,6 +218,23 @@ def describe_measure(spark, folder):
     )
 
 
+@query(
+    "summary_quartiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", COUNT({c}) AS n, COUNT(*) - COUNT({c}) AS missing, CAST(MIN({c}) AS DOUBLE) AS least, CAST(round(AVG({c}), 2) AS DOUBLE) AS mean,
+      CAST(MAX({c}) AS DOUBLE) AS greatest, """
+        + ", ".join(f"(SELECT CAST({c} AS DOUBLE) FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS r, COUNT(*) OVER () AS n FROM {t}) WHERE r = ceil(n * {q})) AS q{q[2:]}" for q in ("0.25", "0.50", "0.75"))
+        + f" FROM {t}"
+        for t, c in (("orders", "o_totalprice"), ("orders", "o_custkey"), ("lineitem", "l_quantity"), ("lineitem", "l_discount"))
+    ),
+)
+def summary_quartiles(spark, folder):
+    """Exact quartiles by selection; no sort of all rows."""
+    of_orders = summary(orders(spark, folder), ["o_totalprice", "o_custkey"])
+    of_lines = summary(read_table(spark, folder, "lineitem"), ["l_quantity", "l_discount"])
+    return of_orders.unionByName(of_lines).withColumn("mean", F.round("mean", 2))
+
+
 @query("agg_by_key", f"SELECT o_orderpriority, COUNT(*) AS n, {MONEY_SUM} AS total FROM orders GROUP BY o_orderpriority ORDER BY n DESC, o_orderpriority")
 def agg_by_key(spark, folder):
     grouped = orders(spark, folder).groupBy("o_orderpriority").agg(F.count("*").alias("n"), total("o_totalprice", 2).alias("total"))

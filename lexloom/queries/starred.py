@@ -1,8 +1,12 @@
 """The given tables in the roles of the star schema: stored under its contract, read back, and checked."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from lexloom.functions.dates import calendar
 from lexloom.operators.bridges import bridge
+from lexloom.plans.costore import join_calendar, linked_measures, store_bucketed, store_by_month
 from lexloom.plans.star import FOREIGN_KEYS, NULLABLE, UNIQUE_KEYS, affected_countries, constraint_report, date_dimension, read_star, store_star
 from lexloom.queries.model import orders
 from lexloom.queries.registry import query
@@ -69,3 +73,39 @@ def star_constraints(spark, folder):
     path = fresh_path(spark, "star")
     store_star(_star_tables(spark, folder), path)
     return constraint_report(read_star(spark, path))
+
+
+@query(
+    "pruned_fact",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority, COUNT(*) AS orders,
+      CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total
+    FROM orders WHERE quarter(o_orderdate) = 2 AND dayofweek(o_orderdate) NOT IN (0, 6) GROUP BY 1, 2, 3""",
+)
+def pruned_fact(spark, folder):
+    """Working days of second quarters: the calendar's filter prunes the fact's months at run time."""
+    path = fresh_path(spark, "orders-by-month")
+    placed = orders(spark, folder).select("o_orderkey", "o_orderpriority", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    store_by_month(placed, "day", path)
+    bounds = placed.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    days_path = fresh_path(spark, "calendar")
+    calendar(bounds).write.parquet(days_path)
+    days = spark.read.parquet(days_path).filter("quarter = 2 AND NOT is_weekend").select("full_date", "year", "month")
+    joined = join_calendar(spark.read.parquet(path), days, "day")
+    return joined.groupBy("year", "month", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
+    )
+
+
+@query(
+    "bucketed_shares",
+    """WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), n AS (SELECT l_orderkey, COUNT(*) AS links FROM b GROUP BY l_orderkey)
+    SELECT o_orderkey, o_totalprice, coalesce(links, 0) AS links, o_totalprice / links AS share FROM orders LEFT JOIN n ON o_orderkey = l_orderkey""",
+)
+def bucketed_shares(spark, folder):
+    """Orders and their links stored in the same buckets, then counted and joined without an exchange."""
+    name = uuid.uuid4().hex
+    fact, links = f"orders_{name}", f"links_{name}"
+    store_bucketed(orders(spark, folder).select("o_orderkey", "o_totalprice"), fact, "o_orderkey", fresh_path(spark, "bucketed-orders"))
+    pairs = bridge(read_table(spark, folder, "lineitem"), "l_orderkey", "l_partkey").toDF("o_orderkey", "l_partkey")
+    store_bucketed(pairs, links, "o_orderkey", fresh_path(spark, "bucketed-links"))
+    return linked_measures(spark, fact, links, "o_orderkey", "o_totalprice", "l_partkey")

@@ -2,27 +2,52 @@
 
 A byte-level vocabulary splits a text before it merges bytes, and it always
 splits in front of a space that a visible character follows, whatever stands
-before.  Texts are cut there, each distinct piece is encoded once by the
-library, and a text's ids are the ids of its pieces end to end.
+before.  Texts are cut there, each distinct piece is encoded once, and a text's
+ids are the ids of its pieces end to end.
+
+Where the ids of a vocabulary are the ranks of its merges, words are merged by
+tiktoken's core with the ranks of the same file, which gives the same ids in a third
+of the time (it is tried on tokens side by side when a vocabulary is loaded);
+all else goes through the tokenizers library.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import random
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-#: A process keeps the ids of so many distinct pieces (some 60 MB) before it starts afresh.
+#: A process keeps the ids of so many new pieces, and of as many from before that were used since (some 60 MB each).
 PIECES_KEPT = 250_000
 
 #: Letters, then ASCII marks or nothing: the split in front of the marks is certain.
 _WORD = re.compile(r"([a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+)([!-/:-@\[-`{-~]*)").fullmatch
 
 
+class _Pieces(dict):
+    """Ids by piece; a piece that is not there yet is learned."""
+
+    def __init__(self, learn: Callable[[str], bytes | None]):
+        self._learn, self._before = learn, {}
+
+    def __missing__(self, piece: str) -> bytes | None:
+        before = self._before
+        found = self[piece] = before[piece] if piece in before else self._learn(piece)
+        return found
+
+    def tidy(self) -> None:
+        """Beyond the limit, keep what is used from now on."""
+        if len(self) > PIECES_KEPT:
+            self._before = dict(self)
+            self.clear()
+
+
 class Vocabulary:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core already
@@ -44,10 +69,11 @@ class Vocabulary:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
         )
         self._special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        self._after_space: dict[str, bytes | None] = {}
-        self._marks: dict[str, list[int]] = {}
-        self._symbols = {b: c for c, b in byte_of_symbol().items() if b != 10}
+        self._pieces = _Pieces(self._learn)
+        self._marks: dict[str, bytes] = {}
+        self._line_end = self._ids("\n")
         self._bytes: list[bytes] | None = None
+        self._merge = self._merging(spec["model"]) if self.splits else None
 
     def encode_whole(self, text: str) -> bytes:
         """Ids of a text as the library gives them, as little-endian uint32."""
@@ -57,8 +83,7 @@ class Vocabulary:
         """Ids of each text, as little-endian uint32."""
         if not self.splits:
             return [self.encode_whole(t) for t in texts]
-        if len(self._after_space) > PIECES_KEPT:
-            self._after_space, self._marks = {}, {}
+        self._pieces.tidy()
         if self._special is None or not any(s in t for t in texts for s in self.specials):
             return self._encode_plain(texts)
         cut = [self._special.split(t) for t in texts]  # odd entries are special
@@ -67,43 +92,55 @@ class Vocabulary:
         return [b"".join(special(p) if i % 2 else next(plain) for i, p in enumerate(parts)) for parts in cut]
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
-        known = self._after_space
+        ids_of = self._pieces.__getitem__
         cut = [t.split(" ") for t in texts]
-        unknown = list({p for pieces in cut for p in pieces[1:] if p not in known})
-        self._learn(known, unknown)
         heads = iter(self.tokenizer.encode_batch_fast([pieces[0] for pieces in cut], add_special_tokens=False))
         out = []
-        for text, pieces in zip(texts, cut):
+        for pieces in cut:
             head = np.array(next(heads).ids, "<u4").tobytes()
             try:
-                out.append(head + b"".join(map(known.__getitem__, pieces[1:])))
+                out.append(head + b"".join(map(ids_of, pieces[1:])))
             except TypeError:  # spaces in a row: some pieces do not stand on their own
                 out.append(self._encode_joined(pieces))
         return out
 
-    def _learn(self, known: dict[str, bytes | None], pieces: list[str]) -> None:
-        """Ids of new pieces: words go to the model as they are, the rest through all steps of the library."""
-        merge, marks = self.tokenizer.model.tokenize, self._marks
-        words, rest = [], []
-        for piece in pieces:
-            word = _WORD(piece)
-            if word:
-                words.append(word)
-            elif stands_alone(piece):
-                rest.append(piece)
-            else:
-                known[piece] = None
-        # The words in the model's symbols, all at once; a line end is none of them.
-        symbols = "\n".join([f" {w[1]}" for w in words]).encode().decode("latin-1").translate(self._symbols)
-        for word, spelled in zip(words, symbols.split("\n")):
-            ids = [t.id for t in merge(spelled)]
-            if word[2]:
-                if word[2] not in marks:
-                    marks[word[2]] = self.tokenizer.encode(word[2], add_special_tokens=False).ids
-                ids += marks[word[2]]
-            known[word[0]] = array("I", ids).tobytes()
-        for piece, encoding in zip(rest, self.tokenizer.encode_batch_fast([" " + p for p in rest], add_special_tokens=False)):
-            known[piece] = np.array(encoding.ids, "<u4").tobytes()
+    def _learn(self, piece: str) -> bytes | None:
+        """Ids of a piece with the space in front of it; None: it goes with what precedes it."""
+        word = _WORD(piece)
+        if word:
+            letters, marks = word.groups()
+            if not marks:
+                return self._merge(" " + letters)
+            if marks not in self._marks:
+                self._marks[marks] = self._ids(marks)
+            return self._pieces[letters] + self._marks[marks]
+        if "\n" in piece:
+            # A line end between words is a piece of its own, and the word behind it begins without a space.
+            first, *others = map(_WORD, piece.split("\n"))
+            if first and all(others):
+                lines = [self._merge(w[1]) + (self._ids(w[2]) if w[2] else b"") for w in others]
+                return self._line_end.join([self._pieces[first[0]], *lines])
+        return self._ids(" " + piece) if stands_alone(piece) else None
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _merging(self, model: dict) -> Callable[[str], bytes]:
+        """Ids of a text that is one piece."""
+        pairs = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        made = [model["vocab"].get(a + b) for a, b in pairs]
+        ranks = {b: i for i, b in enumerate(self.token_bytes) if b and i not in self.specials.values()}
+        if None in made or made != sorted(made) or len(ranks) != 256 + len(made) or model.get("ignore_merges"):
+            return self._ids
+        import tiktoken
+
+        core = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        ids_of = core._core_bpe.encode_single_piece
+        merge = lambda text: array("I", ids_of(text.encode())).tobytes()
+        # Tokens side by side are where merges could differ.
+        letters, rng = [b.decode() for b in ranks if b.isalpha() and b.isascii()], random.Random(0)
+        tried = [" " + "".join(rng.choices(letters, k=2)) for _ in range(2000)]
+        return merge if all(merge(t) == self._ids(t) for t in tried) else self._ids
 
     def _encode_joined(self, pieces: list[str]) -> bytes:
         """Pieces that do not stand alone go with what precedes them."""

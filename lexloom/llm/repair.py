@@ -9,8 +9,8 @@ range of ids in it, is decoded without the rest.
 A shard file, all numbers little-endian: ``MAGIC``; int64 base (symbols from it on
 are rules), rules, texts, symbols, ids; uint32 pairs of the rules; uint32 ids that
 each rule stands for; int64 text ids; uint8 nulls among them; int64 first symbol
-and int64 first id of each text, each with the end; the symbols as three planes
-of their low, middle and high bytes.
+and int64 first id of each text, each with the end; the low 16 bits of the symbols
+as uint16, then for each further bit that the highest symbol needs one plane of bits.
 
 Defined results: null text is empty and keeps its end id; null ids come first;
 equal ids are ordered by the hash of the text; repeated rows stay repeated; an
@@ -32,64 +32,114 @@ from lexloom.llm.vocabulary import vocabulary
 from lexloom.session import shuffle_width
 from lexloom.sources.scratch import materialize
 
-MAGIC = b"LEXPAIR1"
+MAGIC = b"LEXPAIR2"
 SHARD_TOKENS = 2_000_000
-LEAST_COUNT = 32  # a rule takes 12 bytes and each use of it saves 3
-LEAST_GAIN = 0.01  # stop once a round replaces less than this share of the symbols
-_BUCKETS = 18
+LEAST_COUNT = 32  # a rule takes 12 bytes and each use of it saves 2
+_BUCKETS = 20
+_FEW = 0.02  # once a round replaces less than this share of the symbols, only what it touched is counted again
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, first symbol of each text, and rules (pairs) of the ids; no pair reaches from one text into the next."""
+    """Symbols, first symbol of each text, and rules (pairs) of the ids; no pair reaches from one text into the next.
+
+    Rounds go on until no pair occurs ``LEAST_COUNT`` times, but for those that overlap themselves or others so
+    often that under half of that could be replaced.
+    """
     symbols = ids.astype(np.uint32)
     first = np.zeros(len(ids) + 1, bool)
     first[starts] = True
     first = first[: len(ids)]
     rules: list[np.ndarray] = []
-    count, turn = 0, 0
+    count, turn, share = 0, 0, 1.0
+    places: np.ndarray | None = None  # where pairs may be frequent; None: anywhere
     while len(symbols) > 1:
         turn += 1
-        a, b = symbols[:-1], symbols[1:]
-        bucket = (a * np.uint32(0x9E3779B1 + 2 * turn) + b * np.uint32(0x85EBCA77 + 4 * turn)) >> np.uint32(32 - _BUCKETS)
-        bucket[first[1:]] = 0  # bucket 0 is never used
-        counts = np.bincount(bucket, minlength=1 << _BUCKETS)
-        counts[0] = 0
-        at = np.flatnonzero((counts >= LEAST_COUNT)[bucket])
-        of, pair = bucket[at], a[at].astype(np.uint64) << np.uint64(32) | b[at]
-        # One pair of each bucket is replaced in this round; another gets its turn under another hash.
-        chosen = np.zeros(1 << _BUCKETS, np.uint64)
-        chosen[of] = pair
-        hit = chosen[of] == pair
-        at, of = at[hit], of[hit]
-        counts = np.bincount(of, minlength=1 << _BUCKETS)
-        weight = counts[of]
-        frequent = weight >= LEAST_COUNT
-        at, of, weight = at[frequent], of[frequent], weight[frequent]
-        # Of overlapping occurrences the more frequent pair wins; of equals every other one.
-        touching = np.diff(at) == 1
-        beaten = np.zeros(len(at), bool)
-        beaten[1:] |= touching & (weight[:-1] > weight[1:])
-        beaten[:-1] |= touching & (weight[1:] > weight[:-1])
-        at, of = at[~beaten], of[~beaten]
-        run = np.flatnonzero(np.append(True, np.diff(at) != 1)) if len(at) else np.zeros(0, np.int64)
-        offset = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        at, of = at[offset % 2 == 0], of[offset % 2 == 0]
-        kept = np.bincount(of, minlength=1 << _BUCKETS) >= LEAST_COUNT // 2
-        at, of = at[kept[of]], of[kept[of]]
-        if len(at) < LEAST_GAIN * len(symbols):
-            break
-        new = np.flatnonzero(kept)
-        number = np.zeros(1 << _BUCKETS, np.uint32)
+        if places is None:
+            places = _crowded(symbols, first, turn)
+        if share >= _FEW:
+            # One pair of each bucket is replaced in this round; another gets its turn under another hash.
+            at, of, pairs = _one_per_bucket(symbols, places, turn)
+        else:
+            pairs, of, counts = np.unique(_pairs_at(symbols, places), return_inverse=True, return_counts=True)
+            at = places[counts[of] >= LEAST_COUNT]
+            of = of[counts[of] >= LEAST_COUNT]
+        chosen, of = _apart(at, of, len(pairs))
+        if not len(chosen):
+            if share < _FEW:
+                break
+            share, places = 0.0, None
+            continue
+        new = np.flatnonzero(np.bincount(of, minlength=len(pairs)))
+        number = np.zeros(len(pairs), np.uint32)
         number[new] = base + count + np.arange(len(new), dtype=np.uint32)
-        rules.append(np.stack([chosen[new] >> np.uint64(32), chosen[new] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        rules.append(np.stack([pairs[new] >> np.uint64(32), pairs[new] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         count += len(new)
+        exact, share = share < _FEW, len(chosen) / len(symbols)
         keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols[at] = number[of]
+        keep[chosen + 1] = False
+        symbols[chosen] = number[of]
+        if exact:
+            # Pairs elsewhere have only become fewer: a new one holds a new symbol, and an old one was not frequent.
+            moved = np.cumsum(keep, dtype=np.int32)
+            touched = moved[np.concatenate([chosen, at[keep[at]]])] - 1
         symbols, first = symbols[keep], first[keep]
+        places = None
+        if exact:
+            places = np.unique(np.concatenate([touched - 1, touched]))
+            places = places[(places >= 0) & (places < len(symbols) - 1)]
+            places = places[~first[places + 1]]
     return symbols, np.flatnonzero(first), np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
+def _pairs_at(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+
+
+def _bucket(a: np.ndarray, b: np.ndarray, turn: int) -> np.ndarray:
+    return (a * np.uint32(0x9E3779B1 + 2 * turn) + b * np.uint32(0x85EBCA77 + 4 * turn)) >> np.uint32(32 - _BUCKETS)
+
+
+def _crowded(symbols: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
+    """Places of pairs whose bucket holds ``LEAST_COUNT`` pairs, which those of every frequent pair are among."""
+    bucket = _bucket(symbols[:-1], symbols[1:], turn)
+    bucket[first[1:]] = 0  # bucket 0 is never used
+    counts = np.bincount(bucket, minlength=1 << _BUCKETS)
+    counts[0] = 0
+    return np.flatnonzero((counts >= LEAST_COUNT)[bucket])
+
+
+def _one_per_bucket(symbols: np.ndarray, at: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one frequent pair of each bucket, its number, and the pairs by number."""
+    of, pair = _bucket(symbols[at], symbols[at + 1], turn), _pairs_at(symbols, at)
+    pairs = np.zeros(1 << _BUCKETS, np.uint64)
+    pairs[of] = pair
+    hit = pairs[of] == pair
+    at, of = at[hit], of[hit]
+    frequent = (np.bincount(of, minlength=1 << _BUCKETS) >= LEAST_COUNT)[of]
+    return at[frequent], of[frequent], pairs
+
+
+def _apart(at: np.ndarray, of: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places that do not overlap: of neighbours the more frequent pair wins, of equals every other one."""
+    weight = np.bincount(of, minlength=kinds)[of]
+    touching = np.diff(at) == 1
+    beaten = np.zeros(len(at), bool)
+    beaten[1:] |= touching & (weight[:-1] > weight[1:])
+    beaten[:-1] |= touching & (weight[1:] > weight[:-1])
+    at, of = at[~beaten], of[~beaten]
+    run = np.flatnonzero(np.append(True, np.diff(at) != 1)) if len(at) else np.zeros(0, np.int64)
+    offset = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
+    at, of = at[offset % 2 == 0], of[offset % 2 == 0]
+    kept = (np.bincount(of, minlength=kinds) >= LEAST_COUNT // 2)[of]
+    return at[kept], of[kept]
+
+
+def pack_bits(symbols: np.ndarray, bits: int) -> bytes:
+    """Symbols in so many bits each: their low 16 as numbers, the others as one plane of bits each."""
+    planes = [np.packbits(symbols >> np.uint32(k) & np.uint32(1), bitorder="little") for k in range(16, bits)]
+    return symbols.astype("<u2").tobytes() + b"".join(p.tobytes() for p in planes)
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each rule stands for; a rule only uses rules before it."""
     lengths = [0] * len(rules)
@@ -105,11 +155,8 @@ def pack(keys: list[int | None], ids: list[bytes], base: int) -> bytes:
     symbols, starts, rules = compress(np.frombuffer(b"".join(ids), "<u4"), bounds[:-1], base)
     starts = np.append(starts, len(symbols)).astype("<i8")
     head = np.array([base, len(rules), len(keys), len(symbols), bounds[-1]], "<i8")
-    planes = [(symbols >> np.uint32(s)).astype(np.uint8) for s in (0, 8, 16)]
-    if len(symbols) and int(symbols.max()) >= 1 << 24:
-        raise ValueError("a shard has more symbols than three bytes can number")
-    parts = [head, rules.astype("<u4"), expansion_lengths(rules, base).astype("<u4"), np.array([k or 0 for k in keys], "<i8"), np.array([k is None for k in keys], np.uint8), starts, bounds.astype("<i8"), *planes]
-    return MAGIC + b"".join(p.tobytes() for p in parts)
+    parts = [head, rules.astype("<u4"), expansion_lengths(rules, base).astype("<u4"), np.array([k or 0 for k in keys], "<i8"), np.array([k is None for k in keys], np.uint8), starts, bounds.astype("<i8")]
+    return MAGIC + b"".join(p.tobytes() for p in parts) + pack_bits(symbols, (base + len(rules) - 1).bit_length())
 
 
 class Shard:
@@ -125,7 +172,8 @@ class Shard:
         keys = self._next("<i8", n_texts)
         self.keys = [None if none else int(k) for k, none in zip(keys, self._next("u1", n_texts))]
         self.symbol_starts, self.id_starts = self._next("<i8", n_texts + 1), self._next("<i8", n_texts + 1)
-        self._planes = [self._next("u1", n_symbols) for _ in range(3)]
+        self._low = self._next("<u2", n_symbols)
+        self._planes = [self._next("u1", (n_symbols + 7) // 8) for _ in range(16, (self.base + n_rules - 1).bit_length())]
         self._flat, self._flat_starts = self._expansions()
 
     def _next(self, kind: str, n: int) -> np.ndarray:
@@ -145,8 +193,11 @@ class Shard:
         return flat, starts
 
     def symbols(self, lo: int, hi: int) -> np.ndarray:
-        low, middle, high = (p[lo:hi].astype(np.uint32) for p in self._planes)
-        return low | middle << np.uint32(8) | high << np.uint32(16)
+        out = self._low[lo:hi].astype(np.uint32)
+        for k, plane in enumerate(self._planes, 16):
+            bits = np.unpackbits(plane[lo // 8 : (hi + 7) // 8], bitorder="little")[lo % 8 : lo % 8 + hi - lo]
+            out |= bits.astype(np.uint32) << np.uint32(k)
+        return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         rule = np.where(symbols >= self.base, symbols.astype(np.int64) - self.base, -1)

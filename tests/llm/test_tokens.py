@@ -1,12 +1,11 @@
 import random
-import zlib
 
 import numpy as np
 import pytest
 
 from lexloom.llm import bpe, repair
 from lexloom.llm.queries import bpe_digests
-from lexloom.llm.vocabulary import vocabulary
+from lexloom.llm.vocabulary import Vocabulary, vocabulary
 
 ALPHABETS = [
     ["a", "b", "th", "in", " ", "'", "s", "1", ",", "\n", "  "],
@@ -60,7 +59,7 @@ def test_grammar_decodes_whole_texts_and_ranges():
     rng = np.random.default_rng(2)
     texts = [rng.choice([5, 6, 7, 300], rng.integers(1, 4000), p=[0.5, 0.3, 0.1, 0.1]).astype("<u4") for _ in range(20)] + [np.full(999, 4, "<u4")]
     shard = repair.Shard(repair.pack([*range(20), None], [t.tobytes() for t in texts], 50_258))
-    assert len(shard.rules) > 50 and shard.keys[-1] is None and len(shard._planes[0]) < sum(map(len, texts)) / 2
+    assert len(shard.rules) > 50 and shard.keys[-1] is None and len(shard._low) < sum(map(len, texts)) / 2
     for k, text in enumerate(texts):
         assert shard.text(k).tolist() == text.tolist()
         for a, b in ((0, 1), (len(text) // 3, len(text) // 2), (len(text) - 1, len(text)), (5, 5)):
@@ -78,6 +77,53 @@ def test_shards_of_odd_texts(spark, odd_docs, no_docs, vocabulary_path, monkeypa
     for r in found:
         assert r.start == at
         at += r.n_tokens
-    want = [[*expected(vocab, r.text or ""), 2] for r in odd_docs.collect()]
-    assert sorted(zlib.crc32(bytes(r.ids)) for r in found) == sorted(zlib.crc32(np.array(w, "<u4").tobytes()) for w in want)
+    # Id by id.
+    want = [(str(r.doc_id), [*expected(vocab, r.text or ""), 2]) for r in odd_docs.collect()]
+    assert sorted((str(r.id), np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in found) == sorted(want)
     assert repair.read_token_shards(repair.write_token_shards(no_docs, vocabulary_path, 2)).count() == 0
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(5)
+    for alphabet, size in ((3, 5000), (40, 60_000), (2000, 200_000), (1, 900)):
+        ids = (rng.zipf(1.5, size) % alphabet).astype("<u4")
+        starts = np.unique(np.append(0, rng.integers(0, size, 20)))
+        symbols, first, rules = repair.compress(ids, starts, 5000)
+        inner = np.ones(len(symbols), bool)
+        inner[first] = False
+        pairs = np.stack([symbols[:-1], symbols[1:]], 1)[inner[1:]]
+        found, counts = np.unique(pairs, axis=0, return_counts=True)
+        # Only a pair of equal symbols can be frequent and yet not replaced: its places overlap.
+        assert all(a == b for a, b in found[counts >= repair.LEAST_COUNT].tolist())
+        lengths = repair.expansion_lengths(rules, 5000)
+        assert sum(1 if s < 5000 else lengths[s - 5000] for s in symbols.tolist()) == size
+
+
+@pytest.mark.parametrize("top", [1, 60_000, 2**16, 2**20 + 5, 2**30])
+def test_symbols_take_the_bits_they_need(top):
+    symbols = np.random.default_rng(1).integers(0, top, 1001).astype(np.uint32)
+    bits = (top - 1).bit_length()
+    shard = repair.Shard.__new__(repair.Shard)
+    packed = repair.pack_bits(symbols, bits)
+    assert len(packed) <= 2 * 1001 + max(0, bits - 16) * 126
+    shard._low = np.frombuffer(packed, "<u2", 1001)
+    shard._planes = [np.frombuffer(packed, "u1", 126, 2002 + 126 * k) for k in range(max(0, bits - 16))]
+    for lo, hi in ((0, 1001), (3, 4), (7, 900), (500, 500)):
+        assert shard.symbols(lo, hi).tolist() == symbols[lo:hi].tolist()
+
+
+def test_pieces_equal_the_library(vocabulary_path, monkeypatch):
+    """Words merged by ranks, words across line ends, and pieces that were forgotten and came again."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist()
+    vocab, rng = Vocabulary(vocabulary_path), random.Random(3)
+    words = sorted({w for t in texts for w in (t or "").split()})
+    made = [rng.choice(words) + rng.choice(["", "\n", ".\n", "\n\n", "'\n", "\nß", "\n1"]) + rng.choice(words) for _ in range(500)]
+    every = [t or "" for t in texts] + [" ".join(made[k : k + 20]) for k in range(0, 500, 20)]
+    want = [expected(vocab, t) for t in every]
+    assert vocab._merge != vocab._ids
+    for limit in (10**9, 50):
+        monkeypatch.setattr("lexloom.llm.vocabulary.PIECES_KEPT", limit)
+        for at in range(0, len(every), 30):
+            assert [np.frombuffer(i, "<u4").tolist() for i in vocab.encode_all(every[at : at + 30])] == want[at : at + 30]

@@ -5,14 +5,14 @@ a hashed vocabulary of fixed size.  Each entry has a sparse random index vector;
 an entry's context vector is the sum of the index vectors of the tokens within
 ``REACH`` of it, over all texts.  A text is the mean of its tokens' vectors,
 rarer tokens counting more, and drawn to the mean of all texts as if ``PRIOR``
-average tokens were added.  Beside it stand how often a token repeats one within
-``REACH`` before it, and the logarithm of the number of tokens.  The network is fitted on at most ``SAMPLE_ROWS``
-labelled texts; a part of them sets the temperature of its probabilities.
+average tokens were added.  The network sees that vector alone.  It is fitted on at
+most ``SAMPLE_ROWS`` labelled texts; a part of them sets the temperature of its probabilities.
 
 Defined results: a null, empty or blank text is the mean of all texts and has the
 score the network gives to it; without labelled rows, with fewer than ``LEAST_ROWS``
 of them, or with one label only, no network is fitted (``Network.fitted``) and every
 score is the share of good labels (1 without labels), which says nothing of a text;
+of labelled rows that repeat an id, the one with the least vector is the example;
 repeated rows stay repeated; an empty table gives an empty table; further
 columns are ignored.
 """
@@ -95,15 +95,9 @@ def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
 
 def pooled(block: Block, vectors: np.ndarray) -> np.ndarray:
-    """Each row's pooled vector, its repetition at each distance, and the logarithm of its length."""
+    """The mean of each row's token vectors and of ``PRIOR`` average ones."""
     token, bounds = tokens_of(block)
-    n = np.diff(bounds)[:, None]
-    mean = (sum_by_row(vectors[token], bounds) + PRIOR * vectors[-1]) / (n + PRIOR)
-    row = np.repeat(np.arange(block.rows), np.diff(bounds))
-    again = np.zeros((len(token), REACH))
-    for k in range(1, REACH + 1):
-        again[k:, k - 1] = (token[k:] == token[:-k]) & (row[k:] == row[:-k])
-    return np.concatenate([mean, sum_by_row(again, bounds) / (n + PRIOR), np.log1p(n)], axis=1)
+    return (sum_by_row(vectors[token], bounds) + PRIOR * vectors[-1]) / (np.diff(bounds)[:, None] + PRIOR)
 
 
 @dataclass
@@ -188,8 +182,10 @@ def quality_model(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), packed], ["id", "label", "vector"])
 
     found = known.select(F.col("id").cast("string").alias("id"), "text", "label").mapInArrow(pool, "id string, label int, vector binary")
-    found = sorted({r["id"]: r for r in found.collect()}.values(), key=lambda r: r["id"])  # SAMPLE_ROWS short rows at most
-    x = np.array([np.frombuffer(r["vector"]) for r in found]) if found else np.zeros((0, DIMENSIONS + REACH + 1))
+    # Rows that repeat an id come as one, whichever task finds them: SAMPLE_ROWS short rows at most.
+    found = found.groupBy("id").agg(F.max("label").alias("label"), F.min("vector").alias("vector")).collect()
+    found.sort(key=lambda r: r["id"])
+    x = np.array([np.frombuffer(r["vector"]) for r in found]) if found else np.zeros((0, DIMENSIONS))
     return Model(vectors, fit(x, np.array([r["label"] for r in found], float)))
 
 

@@ -6,33 +6,38 @@ text are densities of the lexicon, how near its words are to the second person,
 and rates of capitals, punctuation and obfuscation; words with digits or marks
 put for letters are looked up once more as they would read.
 
-Fitting takes at most ``SAMPLE_ROWS`` labelled rows, in one task; three quarters
-grow the trees and the rest calibrates them.  Scoring reads whole texts.
+Fitting takes at most ``SAMPLE_ROWS`` labelled rows, picked and dealt into parts by
+the hash of the id.  Texts stay where they are: tasks send counts of terms for the
+lexicons, then the features of their rows.  Three quarters of the rows grow the
+trees, each half of them described by the lexicon of the other half, as new texts are;
+the rest calibrates them.  Scoring reads whole texts.
 
 Defined results: a null or empty text has features of zero and the score the
 model gives to them; without any labelled row, with fewer than ``LEAST_ROWS`` of
 them, or with one label only, no trees are fitted (``Model.fitted``) and every score
 is the share of toxic labels (0 without labels), which says nothing of a text;
+of labelled rows that repeat an id, the text with the least digest is the example;
 repeated rows stay repeated; an empty table gives an empty table; further columns
 are ignored.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm.boosting import BoostedTrees, isotonic
 from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text
 from lexloom.llm.wordscan import ALPHANUMERIC, Block, Words, blocks, prefix_hashes, sum_by_row, words_of
+from lexloom.operators.groups import first_per_group
+from lexloom.sources.scratch import materialize
 
 PREFIXES = (4, 5)
 NEAR = 5  # words
@@ -91,36 +96,22 @@ class Lexicon:
         return np.where(terms[at] == hashes, self.odds[kind][at], 0.0)
 
 
-def learn_lexicon(texts: list[str], toxic: np.ndarray) -> Lexicon:
-    """Terms that toxic texts hold more often than others by a factor of at least exp(LEAST_ODDS)."""
-    found = [([], []) for _ in range(1 + len(PREFIXES))]
-    for block in blocks(pa.array(texts, pa.string())):
-        words = words_of(block, ALPHANUMERIC)
-        row = np.repeat(np.arange(block.rows), np.diff(words.bounds)) + block.first
-        for kind, hashes in enumerate(terms_of(block, words)):
-            order = np.lexsort((hashes, row))
-            h, r = hashes[order], row[order]
-            once = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))[: len(h)] & (h != 0)
-            is_toxic = toxic[r[once]]
-            for label in (0, 1):
-                found[kind][label].append(np.unique(h[once][is_toxic == label], return_counts=True))
-    lexicon, n = Lexicon(), np.bincount(toxic, minlength=2)
-    for kind, (clean, bad) in enumerate(found):
-        counts = []
-        for parts in (clean, bad):
-            h = np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)])
-            c = np.concatenate([np.zeros(0), *(p[1] for p in parts)])
-            terms, at = np.unique(h, return_inverse=True)
-            counts.append((terms, np.bincount(at, c, len(terms))))
-        (clean_terms, clean_counts), (terms, n_bad) = counts
-        frequent = n_bad >= LEAST_TEXTS
-        terms, n_bad = terms[frequent], n_bad[frequent]
-        at = np.minimum(np.searchsorted(clean_terms, terms), max(0, len(clean_terms) - 1))
-        n_clean = np.where(clean_terms[at] == terms, clean_counts[at], 0) if len(clean_terms) else np.zeros(len(terms))
-        odds = np.log((n_bad + 0.5) / (n[1] + 1)) - np.log((n_clean + 0.5) / (n[0] + 1))
-        keep = odds >= LEAST_ODDS
-        lexicon.terms[kind], lexicon.odds[kind] = terms[keep], odds[keep]
-    return lexicon
+def term_counts(block: Block) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each kind of term: rows and terms that occur in them, each pair once."""
+    words = words_of(block, ALPHANUMERIC)
+    row = np.repeat(np.arange(block.rows), np.diff(words.bounds))
+    out = []
+    for hashes in terms_of(block, words):
+        order = np.lexsort((hashes, row))
+        h, r = hashes[order], row[order]
+        once = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))[: len(h)] & (h != 0)
+        out.append((r[once], h[once]))
+    return out
+
+
+def log_odds(bad: Column, clean: Column, texts_bad: int, texts_clean: int) -> Column:
+    """How much likelier a toxic text holds a term than another, smoothed by half a text."""
+    return F.log((bad + 0.5) / F.lit(texts_bad + 1)) - F.log((clean + 0.5) / F.lit(texts_clean + 1))
 
 
 def features(block: Block, lexicon: Lexicon) -> np.ndarray:
@@ -144,7 +135,6 @@ def features(block: Block, lexicon: Lexicon) -> np.ndarray:
         near[:-k] |= hit[:-k] & you[k:] & same
 
     # Words as they would read: marks and digits as letters, for runs that hold letters and something else.
-    spelled = Block(block.first, block.rows, _READ[data], block.offsets)
     reads = words_of(Block(block.first, block.rows, np.where(_READABLE[data], _READ[data], 32).astype(np.uint8), block.offsets), ALPHANUMERIC)
     odd = (ALPHANUMERIC[data] & ~_LETTER[data]) | (_MARKS[data] & _READABLE[data])
     letters_before = np.concatenate([[0], np.cumsum(_LETTER[data])])
@@ -155,7 +145,8 @@ def features(block: Block, lexicon: Lexicon) -> np.ndarray:
     inner = np.zeros(len(data), bool)
     if len(data) > 2:
         inner[1:-1] = odd[1:-1] & _LETTER[data[:-2]] & _LETTER[data[2:]]
-    del spelled
+        filled = bounds[1:] > bounds[:-1]  # the ends of a row have no letter of their own text beyond them
+        inner[bounds[:-1][filled]] = inner[bounds[1:][filled] - 1] = False
 
     ends = words.starts + words.lengths
     upper_before = np.concatenate([[0], np.cumsum(_UPPER[data])])
@@ -195,39 +186,89 @@ class Model:
         return np.clip(np.interp(self.trees.raw(x), *self.steps), 0, 1)
 
 
-def fit(texts: list[str], labels: np.ndarray) -> Model:
-    share = float(labels.mean()) if len(labels) else 0.0
-    if len(labels) < LEAST_ROWS or share in (0.0, 1.0):
-        return Model(Lexicon(), None, (np.zeros(1), np.zeros(1)), share)
-    grow = np.arange(len(labels)) % 4 != 3
-    half = np.flatnonzero(grow) % 2 == 0  # each half is described by the lexicon of the other, as new texts are
-    grown = np.flatnonzero(grow)
-    column = lambda rows: pa.array([texts[i] for i in rows], pa.string())
-    describe = lambda rows, lexicon: np.concatenate([np.zeros((0, FEATURES)), *(features(b, lexicon) for b in blocks(column(rows)))])
-    x, y = [], []
-    for own, other in ((grown[half], grown[~half]), (grown[~half], grown[half])):
-        lexicon = learn_lexicon([texts[i] for i in other], labels[other])
-        x.append(describe(own, lexicon))
-        y.append(labels[own])
-    lexicon = learn_lexicon([texts[i] for i in grown], labels[grown])
-    trees = BoostedTrees.fit(np.concatenate(x), np.concatenate(y))
-    rest = np.flatnonzero(~grow)
-    return Model(lexicon, trees, isotonic(trees.raw(describe(rest, lexicon)), labels[rest]), share)
+#: Rows that grow trees, in halves, and rows that calibrate them.
+_HALVES, _REST = (0, 1), 2
+_PART = "CASE WHEN pmod(xxhash64(id), 8) < 3 THEN 0 WHEN pmod(xxhash64(id), 8) < 6 THEN 1 ELSE 2 END"
+
+
+def learn_lexicons(sample: DataFrame) -> list[Lexicon]:
+    """From (part, label, text): the lexicon of each half, and of both together."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, label = (batch.column(c).to_numpy() for c in (0, 1))
+            for block in blocks(batch.column(2)):
+                for kind, (row, term) in enumerate(term_counts(block)):
+                    group = 2 * part[block.first + row] + label[block.first + row]
+                    for g in np.unique(group).tolist():
+                        terms, n = np.unique(term[group == g], return_counts=True)
+                        same = np.ones(len(terms), np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (same * kind, same * np.int32(g), terms.view(np.int64), n)], ["kind", "group", "term", "n"])
+
+    grown = sample.filter(F.col("part") != _REST)
+    texts = {(r["part"], r["label"]): r["count"] for r in grown.groupBy("part", "label").count().collect()}
+    found = grown.select("part", "label", "text").mapInArrow(count, "kind int, group int, term long, n long")
+    held = [F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(F.lit(0))).alias(f"n{g}") for g in range(4)]
+    terms = found.groupBy("kind", "term").agg(*held)
+    choices, columns = [], []
+    for k, halves in enumerate(((0,), (1,), _HALVES)):
+        clean, bad = (sum((F.col(f"n{2 * h + label}") for h in halves), F.lit(0)) for label in (0, 1))
+        sizes = [sum(texts.get((h, label), 0) for h in halves) for label in (0, 1)]
+        odds = log_odds(bad, clean, sizes[1], sizes[0])
+        chosen = (bad >= LEAST_TEXTS) & (odds >= LEAST_ODDS)
+        choices.append(chosen)
+        columns.append(F.when(chosen, odds).alias(f"odds{k}"))
+    # Only terms of a lexicon leave the tasks.
+    rows = terms.filter(choices[0] | choices[1] | choices[2]).select("kind", "term", *columns).collect()
+    lexicons = []
+    for k in range(3):
+        lexicon = Lexicon()
+        for kind in range(1 + len(PREFIXES)):
+            some = [(r["term"], r[f"odds{k}"]) for r in rows if r["kind"] == kind and r[f"odds{k}"] is not None]
+            hashes = np.array([t for t, _ in some], np.int64).view(np.uint64)
+            order = np.argsort(hashes)
+            lexicon.terms[kind], lexicon.odds[kind] = hashes[order], np.array([o for _, o in some], float)[order]
+        lexicons.append(lexicon)
+    return lexicons
+
+
+def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray, lexicon: Lexicon) -> Model:
+    """Trees from the features of the rows that grow them, steps from those of the rest."""
+    trees = BoostedTrees.fit(x[part != _REST], y[part != _REST])
+    rest = part == _REST
+    return Model(lexicon, trees, isotonic(trees.raw(x[rest]), y[rest]), float(y.mean()))
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on labelled texts outside the held-out fold; the texts, ``rows`` at most, meet in one task."""
+    """Fit on labelled texts outside the held-out fold, at most ``rows`` of them."""
+    spark = docs.sparkSession
     sample = labelled_sample(labels, "doc_id", "toxic", fold("doc_id", folds) != held_out, rows)
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = texts.join(F.broadcast(sample), "id")  # the sample has a fixed bound
-
-    def train(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["id", "text"], kind="stable").drop_duplicates("id")
-        group = group.sample(frac=1, random_state=1)
-        return pd.DataFrame({"model": [pickle.dumps(fit(group["text"].tolist(), group["label"].to_numpy()))]})
-
-    found = known.groupBy(F.lit(1).alias("all")).applyInPandas(train, "model binary").first()
-    return pickle.loads(found["model"]) if found else fit([], np.zeros(0, int))
+    known = first_per_group(texts.join(F.broadcast(sample), "id"), ["id"], [F.md5("text")])  # the sample has a fixed bound
+    known = materialize(known.select(F.col("id").cast("string").alias("id"), F.expr(_PART).alias("part"), "label", "text"), "toxicity-sample")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    total = sum(counts.values())
+    if total < LEAST_ROWS or len(counts) < 2:
+        return Model(Lexicon(), None, (np.zeros(1), np.zeros(1)), counts.get(1, 0) / total if total else 0.0)
+    lexicons = learn_lexicons(known)
+    shared = spark.sparkContext.broadcast(lexicons)  # terms of the sample that are far likelier in toxic texts
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Each half by the other's lexicon, the rest by that of both.
+            for part, lexicon in zip((*_HALVES, _REST), (shared.value[1], shared.value[0], shared.value[2])):
+                own = batch.filter(pc.equal(batch.column(1), part))
+                for block in blocks(own.column(3)):
+                    packed = pa.array([v.tobytes() for v in features(block, lexicon)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*own.slice(block.first, block.rows).columns[:3], packed], ["id", "part", "label", "x"])
+
+    found = known.mapInArrow(describe, "id string, part int, label int, x binary").collect()  # FEATURES numbers a row
+    found.sort(key=lambda r: r["id"])
+    x = np.array([np.frombuffer(r["x"]) for r in found])
+    y, part = (np.array([r[c] for r in found]) for c in ("label", "part"))
+    if len(set(y[part != _REST].tolist())) < 2:  # too few of one label to grow trees
+        return Model(Lexicon(), None, (np.zeros(1), np.zeros(1)), float(y.mean()))
+    return fit(x, y, part, lexicons[2])
 
 
 def score_toxicity(docs: DataFrame, model: Model, keep: list[str] | None = None, text_column: str = "text", score_column: str = "score") -> DataFrame:

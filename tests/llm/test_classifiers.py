@@ -183,3 +183,128 @@ def test_a_reference_holds_a_part_of_every_sampled_text(spark):
     assert held(reference_texts=5, reference_bytes=400) in {(5, n) for n in range(390, 401)}
     assert langid.reference_text(["One, two", "", "\u00e9"], [0, 0, 0], 100) == "one two \u00e9".encode()
     assert langid.reference_text(["abcdef", "xy"], [1, -1], 6) == b"bcd xy"
+
+
+def random_texts(rng, n):
+    parts = ["you", "You", "frobnik", "FROBNIK", "fr0bnik", "f-r-o", "zurgling", "zurg", "the", "Été", "1a", "a1b", "b2", "!!", "?", "@ss", "x*y", "ok.", "\n", "dich", "don't"]
+    return ["".join(rng.choice(parts) + rng.choice([" ", " ", "", ", "]) for _ in range(rng.randrange(25))) for _ in range(n)] + [None, ""]
+
+
+def plain_features(text, words_odds, begin_odds):
+    """The features of a text, word by word."""
+    raw = (text or "").encode()
+    low = raw.lower()
+    alnum = lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128
+    letter = lambda b: alnum(b) and not 48 <= b <= 57
+    mark = lambda b: 33 <= b < 127 and not alnum(b)
+    readable = lambda b: alnum(b) or chr(b) in "@$!*#%&_-+."
+    odd = lambda b: (alnum(b) and not letter(b)) or (mark(b) and readable(b))
+    words = [(m.start(), m.group().lower()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", raw)]
+    whole = [words_odds.get(w, 0) for _, w in words]
+    begin = [max(begin_odds.get(w[:n], 0) if len(w) >= n else 0 for n in toxicity.PREFIXES) for _, w in words]
+    you = [w.decode() in toxicity.SECOND_PERSON if w.isascii() else w in [p.encode() for p in toxicity.SECOND_PERSON] for _, w in words]
+    hit = [a > 0 or b > 0 for a, b in zip(whole, begin)]
+    near = sum(h and any(you[j] for j in range(max(0, i - toxicity.NEAR), min(len(words), i + toxicity.NEAR + 1)) if j != i) for i, h in enumerate(hit))
+    put = bytes(ord(toxicity.LEET.get(chr(b), chr(b))) if readable(b) and b < 128 else b if readable(b) else 32 for b in raw)
+    mixed = [
+        m.group().lower()
+        for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", put)
+        if any(map(letter, raw[m.start() : m.end()])) and any(map(odd, raw[m.start() : m.end()]))
+    ]
+    inner = sum(odd(raw[i]) and letter(raw[i - 1]) and letter(raw[i + 1]) for i in range(1, len(raw) - 1))
+    n, size, strongest = max(1, len(words)), max(1, len(raw)), [max(a, b) for a, b in zip(whole, begin)]
+    word_hits, begin_hits = sum(a > 0 for a in whole), sum(b > 0 for b in begin)
+    upper = sum(65 <= b <= 90 for b in raw)
+    shouted = sum(len(w) > 2 and all(65 <= b <= 90 for b in raw[at : at + len(w)]) for at, w in words)
+    read_hits = sum(w in words_odds for w in mixed)
+    assert len(low) == len(raw)
+    return [
+        word_hits / n, np.log1p(word_hits), begin_hits / n, np.log1p(begin_hits), sum(strongest) / n, max(strongest, default=0),
+        near / max(1, sum(hit)), np.log1p(near), sum(you) / n, upper / max(1, sum(map(letter, raw))), shouted / n, sum(map(mark, raw)) / size,
+        sum(b in b"!?" for b in raw) / size, inner / size, len(mixed) / n, np.log1p(read_hits), np.log1p(len(words)),
+    ]
+
+
+def test_toxicity_features_equal_a_plain_version():
+    texts = random_texts(random.Random(2), 300)
+    words, begins = {b"frobnik": 3.5, b"ass": 2.75, b"aib": 4.0}, {b"zurg": 3.0, b"zurgl": 3.25, b"frob": 2.5}
+    lexicon = toxicity.Lexicon()
+    for kind, known in enumerate((words, {k: v for k, v in begins.items() if len(k) == 4}, {k: v for k, v in begins.items() if len(k) == 5})):
+        block = next(blocks(pa.array([" ".join(k.decode() for k in known)])))
+        hashes = toxicity.terms_of(block, words_of(block, ALPHANUMERIC))[kind]
+        order = np.argsort(hashes)
+        lexicon.terms[kind], lexicon.odds[kind] = hashes[order], np.array(list(known.values()))[order]
+    for size in (1, 200, 1 << 20):
+        found = np.concatenate([toxicity.features(b, lexicon) for b in blocks(pa.array(texts), size)])
+        assert np.allclose(found, [plain_features(t, words, begins) for t in texts])
+
+
+def test_lexicons_equal_plain_counts(spark):
+    rng = random.Random(6)
+    rows = [(k % 3, int(k % 5 < 2), " ".join(rng.choices(["zurgle", "Zurgling", "frob", "blick"] if k % 5 < 2 else ["river", "stone", "hill", "blick"], k=6))) for k in range(120)]
+    found = toxicity.learn_lexicons(spark.createDataFrame(rows, "part int, label int, text string").repartition(5))
+    for lexicon, halves in zip(found, ((0,), (1,), (0, 1))):
+        for kind, size in enumerate((None, *toxicity.PREFIXES)):
+            held = [(label, {w[:size] for w in text.lower().split() if size is None or len(w) >= size}) for part, label, text in rows if part in halves]
+            n = [sum(label == k for label, _ in held) for k in (0, 1)]
+            want = []
+            for term in set().union(*(terms for _, terms in held)):
+                bad, clean = (sum(term in terms for label, terms in held if label == k) for k in (1, 0))
+                odds = np.log((bad + 0.5) / (n[1] + 1)) - np.log((clean + 0.5) / (n[0] + 1))
+                if bad >= toxicity.LEAST_TEXTS and odds >= toxicity.LEAST_ODDS:
+                    want.append(odds)
+            assert np.allclose(sorted(lexicon.odds[kind]), sorted(want)) and len(want) == len(lexicon.terms[kind])
+            assert (np.diff(lexicon.terms[kind].astype(object)) > 0).all()
+
+
+def test_isotonic_steps_equal_the_minmax_formula():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 40):
+        raw, y = rng.normal(size=n), rng.integers(0, 2, n)
+        points, shares = isotonic(raw, y)
+        values = np.concatenate([[0.5], y[np.argsort(raw, kind="stable")], [0.5]])
+        mean = lambda a, b: values[a : b + 1].mean()
+        want = [max(min(mean(a, b) for b in range(k, n + 2)) for a in range(k + 1)) for k in range(n + 2)]
+        assert np.allclose(sorted(set(np.round(want, 9))), np.unique(np.round(shares, 9))) and len(points) == len(shares)
+
+
+def plain_tokens(text):
+    return [m.group() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0D]+", (text or "").encode())]
+
+
+def test_context_sums_and_pooled_vectors_equal_a_plain_version():
+    texts = random_texts(random.Random(8), 60)
+    entry = {}
+    for block in blocks(pa.array(texts), 1):
+        token, _ = quality.tokens_of(block)
+        entry.update(zip(plain_tokens(texts[block.first]), token.tolist()))
+    index = quality.index_vectors()
+    want = np.zeros((1 << quality.VOCABULARY_BITS, quality.DIMENSIONS + 1))
+    for text in texts:
+        tokens = plain_tokens(text)
+        for i, token in enumerate(tokens):
+            want[entry[token], -1] += 1
+            for j in range(max(0, i - quality.REACH), min(len(tokens), i + quality.REACH + 1)):
+                if i != j:
+                    want[entry[token], :-1] += index[entry[tokens[j]]]
+    half = len(texts) // 2
+    batches = [pa.record_batch([pa.array(part, pa.string())], ["text"]) for part in (texts[:half], texts[half:])]
+    assert np.allclose(quality.context_sums(iter(batches)), want, atol=1e-4)
+    vectors = np.random.default_rng(1).random((len(want) + 1, quality.DIMENSIONS)).astype(np.float32)
+    found = np.concatenate([quality.pooled(b, vectors) for b in blocks(pa.array(texts), 100)])
+    for row, text in zip(found, texts):
+        tokens = [vectors[entry[t]] for t in plain_tokens(text)] + [vectors[-1]] * quality.PRIOR
+        assert np.allclose(row, np.mean(np.array(tokens, float), axis=0), atol=1e-5)
+
+
+def test_rows_that_repeat_an_id_do_not_depend_on_partitioning(spark):
+    docs, labels = labelled(spark, str, lambda t, rng: " ".join(w + "%%%" for w in t.split()), "quality")
+    twice = docs.unionByName(docs.selectExpr("doc_id", "concat(text, ' more words') AS text"))
+    toxic = labels.withColumnRenamed("quality", "toxic")
+    found = []
+    for n in (1, 7):
+        some = twice.repartition(n)
+        q, t = quality.quality_model(some, labels), toxicity.toxicity_model(some, toxic)
+        found.append((q.network.w1, q.network.b2, t.trees.leaf, t.steps[1]))
+    for a, b in zip(*found):
+        assert np.allclose(a, b, atol=1e-4)

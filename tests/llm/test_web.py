@@ -133,7 +133,10 @@ def test_blocks_of_patterns_give_the_same(spark, monkeypatch):
     items = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k, k + 14))) for k in range(30)], "item_id long, text string")
     docs = spark.createDataFrame([(0, " ".join(f"w{j}" for j in range(60))), (1, "clean")], "doc_id long, text string")
     whole = decontaminate.find_benchmark_text(docs, items).collect()
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    assert len(decontaminate.pattern_files(items, "item_id", "text", 10)) == 1
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 80)
+    monkeypatch.setattr(decontaminate, "SCAN_BYTES", 80)
+    assert len(decontaminate.pattern_files(items, "item_id", "text", 10)) >= 10
     assert decontaminate.find_benchmark_text(docs, items).collect() == whole
 
 

@@ -11,9 +11,13 @@ one that holds it, and a byte without a match costs a whole phrase (14.6 bits at
 ``REFERENCE_BYTES``).  A language of a few words is thus only found in those words.
 
 The automaton with "end the phrase and go on" as its answer to a byte that does
-not continue a match is a table of next states.  Very many stretches of text walk
-through it at once, a byte at a time; a text is walked in stretches of
-``STRETCH`` bytes, and a phrase ends where its stretch does.
+not continue a match is a table of next states.  Very many stretches of ``STRETCH``
+bytes walk through it at once, a byte at a time, each as if a phrase began with it.
+Then every stretch is entered in the state that the one before it ends in, until its
+states are those of the first walk, and again where that changed an end; so
+phrases are those of the whole text.  What is left of the normalisation, a division by
+bytes and the weight of a full reference, is the same for all languages of a text: it
+does not change which language wins.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 without any reference every other text is ``und`` too; equal entropies go to the
@@ -112,17 +116,45 @@ class Reference:
         table[0] = start
         return cls(lang, len(text), symbols, table)
 
-    def phrases(self, stretches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Phrases in each row of ``stretches`` (sorted by falling size), whose rows hold ``sizes`` bytes."""
+    def walk(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States and phrases ended behind each byte of stretches (columns, by falling size), each walked from the start."""
         columns, flat = self.table.shape[1], self.table.reshape(-1)
-        state, count = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-        symbols = self.symbols[stretches].astype(np.int64)
+        states = np.zeros((len(symbols) + 1, len(sizes)), np.int32)  # row 0: before the first byte
+        ended = np.zeros((len(symbols) + 1, len(sizes)), np.int16)
         for k in range(int(sizes.max()) if len(sizes) else 0):
-            n = int(np.searchsorted(-sizes, -k, "left"))  # rows longer than k
-            step = flat[state[:n] * columns + symbols[k, :n]]
-            count[:n] += step & 3
-            state[:n] = step >> 2
-        return count + (state != 0)
+            n = int(np.searchsorted(-sizes, -k, "left"))  # stretches longer than k
+            step = flat[states[k, :n].astype(np.int64) * columns + symbols[k, :n]]
+            ended[k + 1, :n] = ended[k, :n] + (step & 3)
+            states[k + 1, :n] = step >> 2
+        return states, ended
+
+    def phrases(self, symbols: np.ndarray, sizes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each stretch, and its last state; ``before`` is the stretch that it goes on from, or -1."""
+        columns, flat = self.table.shape[1], self.table.reshape(-1)
+        states, ended = self.walk(symbols, sizes)
+        every = np.arange(len(sizes))
+        first_end, first_count = states[sizes, every].astype(np.int64), ended[sizes, every].astype(np.int64)
+        end, count, entered = first_end.copy(), first_count.copy(), np.zeros(len(sizes), np.int64)
+        while True:
+            wanted = np.where(before >= 0, end[before], 0)
+            lane = np.flatnonzero(wanted != entered)
+            if not len(lane):
+                return count, end
+            state, more = wanted[lane], np.zeros(len(lane), np.int64)
+            entered[lane] = state
+            for k in range(len(symbols)):
+                step = flat[state * columns + symbols[k, lane]]
+                more, state = more + (step & 3), (step >> 2).astype(np.int64)
+                met, over = state == states[k + 1, lane], sizes[lane] == k + 1
+                # From here on as in the first walk, or the stretch is over.
+                count[lane[met]] = more[met] + first_count[lane[met]] - ended[k + 1, lane[met]]
+                end[lane[met]] = first_end[lane[met]]
+                apart = over & ~met
+                count[lane[apart]], end[lane[apart]] = more[apart], state[apart]
+                go = ~(met | over)
+                lane, state, more = lane[go], state[go], more[go]
+                if not len(lane):
+                    break
 
 
 def phrase_counts(block: Block, references: list[Reference]) -> np.ndarray:
@@ -135,13 +167,18 @@ def phrase_counts(block: Block, references: list[Reference]) -> np.ndarray:
     starts = block.offsets[row] + within * STRETCH
     length = np.minimum(STRETCH, block.offsets[row + 1] - starts)
     order = np.argsort(-length, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    before = np.where(within[order] > 0, place[order - 1], -1)
+    last = within[order] == per_row[row[order]] - 1
     padded = np.append(data, np.zeros(STRETCH, np.uint8))
     stretches = padded[starts[order][None, :] + np.arange(STRETCH)[:, None]]
     bounds = np.concatenate([[0], np.cumsum(per_row)])
     out = np.zeros((block.rows, len(references)))
     for k, reference in enumerate(references):
         counts = np.zeros(len(row))
-        counts[order] = reference.phrases(stretches, length[order])
+        found, end = reference.phrases(reference.symbols[stretches], length[order], before)
+        counts[order] = found + (last & (end != 0))  # the last phrase of a text ends with it
         out[:, k] = sum_by_row(counts, bounds)
     return out
 

@@ -128,7 +128,18 @@ def test_phrases_by_automaton_equal_plain_search():
             counts = langid.phrase_counts(block, [automaton])[:, 0]
             for k in range(block.rows):
                 raw = langid.folded(np.frombuffer(texts[block.first + k].encode(), np.uint8)).tobytes()
-                assert counts[k] == sum(plain_phrases(raw[i : i + langid.STRETCH], reference) for i in range(0, len(raw), langid.STRETCH))
+                assert counts[k] == plain_phrases(raw, reference)
+
+
+def test_phrases_run_across_many_stretches(monkeypatch):
+    """Matches longer than a stretch, where no walk meets the first one."""
+    monkeypatch.setattr(langid, "STRETCH", 4)
+    for reference, text in ((b"ab" * 30, "xx" + "ab" * 40 + "é"), (b"abcabd" * 9, "abcabdabcabd" * 6), (b"aaaaaaa", "a" * 50), ("\u00e9\u00e8".encode(), "\u00e9\u00e8" * 9)):
+        (block,) = blocks(pa.array([text, "", text[1:]]))
+        counts = langid.phrase_counts(block, [langid.Reference.of("x", reference)])[:, 0]
+        raw = langid.folded(np.frombuffer(text.encode(), np.uint8)).tobytes()
+        short = langid.folded(np.frombuffer(text[1:].encode(), np.uint8)).tobytes()
+        assert counts.tolist() == [plain_phrases(raw, reference), 0, plain_phrases(short, reference)]
 
 
 def test_languages_and_odd_texts(spark, odd_docs, no_docs):

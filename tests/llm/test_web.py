@@ -3,6 +3,8 @@ import gzip
 import hashlib
 import re
 
+import pytest
+
 from lexloom.llm import decontaminate, urlrules, warc
 from lexloom.llm.queries import URL_RULES
 from lexloom.llm.storage import read_file
@@ -58,6 +60,59 @@ def test_small_archives_and_empty_tables(spark, monkeypatch):
     assert list(archives.flush()) == []
 
 
+def foreign(kind, name, date, block, digest=None, version="WARC/1.0", **more):
+    fields = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{name}>", "warc-date": date, "Content-Length": len(block), **more}
+    if digest:
+        fields["WARC-Payload-Digest"] = "sha1:" + digest
+    return gzip.compress((version + "\r\n" + "".join(f"{k}:{v}\r\n" for k, v in fields.items()) + "\r\n").encode() + block + b"\r\n\r\n")
+
+
+def test_archives_of_others_keep_dates_heads_and_other_records(spark, tmp_path):
+    body, other = b"<html>same</html>", b"\x00binary\xff"
+    digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    head = lambda status, n: f"HTTP/1.1 {status}\r\nServer: x\r\ncontent-length:{n}\r\n\r\n".encode()
+    uri = {"WARC-Target-URI": "http://a/", "WARC-IP-Address": "10.0.0.1"}
+    records = [
+        foreign("warcinfo", "info", "2020-01-01T00:00:00Z", b"software: y\r\n", **{"Content-Type": "application/warc-fields"}),
+        foreign("request", "req", "2020-01-01T00:00:01Z", b"GET / HTTP/1.1\r\n\r\n", **uri),
+        foreign("response", "late", "2021-05-05T00:00:00Z", head("404 Not Found", len(body)) + body, digest.lower(), **uri),
+        foreign("response", "early", "2020-03-03T00:00:00Z", head("200 OK", len(body)) + body, version="WARC/1.1", **uri),
+        foreign("revisit", "again", "2022-02-02T00:00:00Z", b"HTTP/1.1 304 Not Modified\r\n\r\n", digest, **uri),
+        foreign("revisit", "gone", "2022-02-03T00:00:00Z", head("200 OK", 7), "A" * 32, **uri, **{"WARC-Refers-To": "<urn:uuid:elsewhere>", "WARC-Refers-To-Date": "2010-01-01T00:00:00Z"}),
+        foreign("response", "only", "2020-01-04T00:00:00Z", head("200 OK", len(other)) + other, **uri),
+        foreign("resource", "res", "2020-01-05T00:00:00Z", b"plain", **uri),
+    ]
+    path = tmp_path / "foreign.warc.gz"
+    path.write_bytes(b"".join(records))
+    manifest = spark.createDataFrame([(str(path), len(records), path.stat().st_size)], "file string, records long, bytes long")
+    stored = warc.resolve_revisits(manifest)
+    found = [warc.parse(content) for r in stored.collect() for _, content in warc.members(r.file)]
+    by_id = {f["WARC-Record-ID"][10:-1]: (f, http, payload) for f, http, _, payload in found}
+    assert [f["WARC-Record-ID"][10:-1] for f, *_ in found] == ["info", "req", "late", "early", "again", "gone", "only", "res"]
+    before = {f["WARC-Record-ID"][10:-1]: (f, http, payload) for f, http, _, payload in (warc.parse(gzip.decompress(r)) for r in records)}
+    for name, (fields, http, payload) in by_id.items():
+        assert fields["WARC-Date"] == before[name][0]["WARC-Date"] and http == before[name][1]
+        assert fields.get("WARC-IP-Address") == before[name][0].get("WARC-IP-Address")
+        assert payload == (b"" if name == "late" else before[name][2])
+    for name in ("late", "again"):
+        fields = by_id[name][0]
+        assert fields["WARC-Type"] == "revisit" and fields["WARC-Refers-To"] == "<urn:uuid:early>" and fields["WARC-Refers-To-Date"] == "2020-03-03T00:00:00Z"
+    assert by_id["gone"][0]["WARC-Refers-To"] == "<urn:uuid:elsewhere>" and by_id["gone"][0]["WARC-Refers-To-Date"] == "2010-01-01T00:00:00Z"
+    assert {n: f["WARC-Type"] for n, (f, *_) in by_id.items()} == {n: "revisit" if n == "late" else f["WARC-Type"] for n, (f, *_) in before.items()}
+    rows = {r.record_id[10:-1]: r for r in warc.read_archives(stored, payloads=True).collect()}
+    assert rows["early"].payload_bytes == len(body) and rows["again"].payload_bytes is None and rows["res"].payload == b"plain"
+    bad = tmp_path / "bad.warc.gz"
+    bad.write_bytes(foreign("response", "x", "d", head("200 OK", 1) + b"z", digest, **uri))
+    with pytest.raises(Exception, match="does not match its digest"):
+        warc.read_archives(spark.createDataFrame([(str(bad),)], "file string")).collect()
+
+
+def test_dates_of_pages(spark):
+    pages = spark.sql("SELECT 1L AS page_id, 'http://a/' AS url, 'x' AS html, TIMESTAMP'2024-02-03 04:05:06' AS seen, 'y' AS date")
+    stored = warc.resolve_revisits(warc.write_archives(pages, date_column="seen"))
+    assert [r.date for r in warc.read_archives(stored).collect()] == ["2024-02-03T04:05:06Z"]
+
+
 def judged(spark, rows, redirects=None):
     pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, key string, rule string")
     return {r.page_id: r for r in urlrules.judge_urls(pages, URL_RULES, redirects).collect()}

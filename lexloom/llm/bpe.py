@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm.vocabulary import Vocabulary, vocabulary
+from lexloom.llm.vocabulary import TEXTS_TOGETHER, Vocabulary, vocabulary
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 64
 AGREE = 4  # ids that a window must reproduce on a side without a certain split
-ROWS = 500  # rows encoded at a time
+ROWS = 500  # rows decoded at a time
 
 
 def char_class(c: str) -> str:
@@ -204,8 +204,8 @@ def bpe_encode(
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, TEXTS_TOGETHER):
+                rows = batch.slice(at, TEXTS_TOGETHER)
                 yield pa.RecordBatch.from_arrays([rows.column(0), _lists(vocab.encode_all(rows.column(1).to_pylist()))], ["id", "ids"])
 
     piece = T.StructType(
@@ -227,8 +227,8 @@ def bpe_encode(
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS // 10):
-                rows = batch.slice(at, ROWS // 10)
+            for at in range(0, batch.num_rows, TEXTS_TOGETHER // 10):
+                rows = batch.slice(at, TEXTS_TOGETHER // 10)
                 ids = pa.array(vocab.encode_all(rows.column(4).to_pylist()), pa.binary())
                 yield pa.RecordBatch.from_arrays([*rows.columns, ids], [*rows.schema.names, "ids"])
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.llm.storage import new_folder, read_file, write_file
-from lexloom.llm.vocabulary import vocabulary
+from lexloom.llm.vocabulary import TEXTS_TOGETHER, vocabulary
 from lexloom.session import shuffle_width
 from lexloom.sources.scratch import materialize
 
@@ -255,8 +255,8 @@ def write_token_shards(
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, TEXTS_TOGETHER):
+                some = batch.slice(at, TEXTS_TOGETHER)
                 encoded = [i + end for i in vocab.encode_all(some.column(1).to_pylist())]
                 keys += some.column(0).to_pylist()
                 ids += encoded

@@ -2,13 +2,13 @@
 
 A byte-level vocabulary splits a text before it merges bytes, and it always
 splits in front of a space that a visible character follows, whatever stands
-before.  Texts are cut there, each distinct piece is encoded once, and a text's
-ids are the ids of its pieces end to end.
+before.  Texts are cut there, each distinct piece of some thousand texts is encoded
+once, and a text's ids are the ids of its pieces end to end.
 
 Where the ids of a vocabulary are the ranks of its merges, words are merged by
 tiktoken's core with the ranks of the same file, which gives the same ids in a third
 of the time (it is tried on tokens side by side when a vocabulary is loaded);
-all else goes through the tokenizers library.
+all else goes through the tokenizers library.  Nothing is kept from one call to the next.
 """
 
 from __future__ import annotations
@@ -17,35 +17,23 @@ import json
 import os
 import random
 import re
-from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: A process keeps the ids of so many new pieces, and of as many from before that were used since (some 60 MB each).
-PIECES_KEPT = 250_000
+#: Texts worth encoding together: more of them repeat more pieces, and take more memory.
+TEXTS_TOGETHER = 2_000
+#: Texts of fewer characters in all go through the library as they are.
+_FEW_CHARS = 20_000
+_WORDS_TOGETHER = 20_000
 
-#: Letters, then ASCII marks or nothing: the split in front of the marks is certain.
-_WORD = re.compile(r"([a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+)([!-/:-@\[-`{-~]*)").fullmatch
-
-
-class _Pieces(dict):
-    """Ids by piece; a piece that is not there yet is learned."""
-
-    def __init__(self, learn: Callable[[str], bytes | None]):
-        self._learn, self._before = learn, {}
-
-    def __missing__(self, piece: str) -> bytes | None:
-        before = self._before
-        found = self[piece] = before[piece] if piece in before else self._learn(piece)
-        return found
-
-    def tidy(self) -> None:
-        """Beyond the limit, keep what is used from now on."""
-        if len(self) > PIECES_KEPT:
-            self._before = dict(self)
-            self.clear()
+# Letters, then ASCII marks or nothing, and the same again behind single line ends: all splits are certain.
+_LETTERS, _MARKS = "[a-zA-Zß-öø-ÿÀ-ÖØ-Þ]+", r"[!-/:-@\[-`{-~]"
+_WORDS = rf"^{_LETTERS}{_MARKS}*(?:\n{_LETTERS}{_MARKS}*)*$"
+_SPLIT = rf" ?{_LETTERS}|{_MARKS}+|\n"
 
 
 class Vocabulary:
@@ -69,11 +57,9 @@ class Vocabulary:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
         )
         self._special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        self._pieces = _Pieces(self._learn)
-        self._marks: dict[str, bytes] = {}
-        self._line_end = self._ids("\n")
         self._bytes: list[bytes] | None = None
         self._merge = self._merging(spec["model"]) if self.splits else None
+        self._spaced = np.array([b[:1] == b" " for b in self.token_bytes]) if self._merge else None
 
     def encode_whole(self, text: str) -> bytes:
         """Ids of a text as the library gives them, as little-endian uint32."""
@@ -83,7 +69,6 @@ class Vocabulary:
         """Ids of each text, as little-endian uint32."""
         if not self.splits:
             return [self.encode_whole(t) for t in texts]
-        self._pieces.tidy()
         if self._special is None or not any(s in t for t in texts for s in self.specials):
             return self._encode_plain(texts)
         cut = [self._special.split(t) for t in texts]  # odd entries are special
@@ -92,55 +77,66 @@ class Vocabulary:
         return [b"".join(special(p) if i % 2 else next(plain) for i, p in enumerate(parts)) for parts in cut]
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
-        ids_of = self._pieces.__getitem__
-        cut = [t.split(" ") for t in texts]
-        heads = iter(self.tokenizer.encode_batch_fast([pieces[0] for pieces in cut], add_special_tokens=False))
-        out = []
-        for pieces in cut:
-            head = np.array(next(heads).ids, "<u4").tobytes()
-            try:
-                out.append(head + b"".join(map(ids_of, pieces[1:])))
-            except TypeError:  # spaces in a row: some pieces do not stand on their own
-                out.append(self._encode_joined(pieces))
+        if sum(map(len, texts)) < _FEW_CHARS:
+            return self._ids(texts)
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        pieces, first = cut.values.dictionary_encode(), cut.offsets.to_numpy()
+        place, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
+        behind_space = np.ones(len(place), bool)
+        behind_space[first[:-1]] = False
+        used = np.zeros(len(distinct), bool)
+        used[place[behind_space]] = True
+        words = used & (np.asarray(pc.match_substring_regex(distinct, _WORDS)) if self._merge else False)
+        start, size, flat, at = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64), [], 0
+        numbers = np.flatnonzero(words)
+        for low in range(0, len(numbers), _WORDS_TOGETHER):
+            some = numbers[low : low + _WORDS_TOGETHER]
+            ids = self._merge(" " + " ".join(distinct.take(pa.array(some)).to_pylist()))
+            begins = np.flatnonzero(self._spaced[ids])  # only the first id of a word begins with a space
+            start[some], size[some] = at + begins, np.diff(np.append(begins, len(ids)))
+            flat.append(ids)
+            at += len(ids)
+        # Other pieces, and the beginnings of texts, which no space precedes.
+        numbers = np.flatnonzero(used & ~words)
+        others = distinct.take(pa.array(numbers)).to_pylist()
+        alone = np.ones(len(distinct), bool)  # spaces in a row: such pieces go with what precedes them
+        alone[numbers] = [stands_alone(p) for p in others]
+        heads = distinct.take(pa.array(place[first[:-1]])).to_pylist()
+        found = [np.frombuffer(i, "<u4") for i in self._ids([" " + p for p in others] + heads)]
+        more = np.array([len(i) for i in found], np.int64)
+        begins = at + np.cumsum(more) - more
+        start[numbers], size[numbers] = begins[: len(others)], more[: len(others)]
+        start, size = np.append(start, begins[len(others) :]), np.append(size, more[len(others) :])
+        place[first[:-1]] = len(distinct) + np.arange(len(texts))
+        ids = np.concatenate([*flat, *found]) if flat or found else np.zeros(0, "<u4")
+        sizes = size[place]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        gathered = ids[np.repeat(start[place] - ends[:-1], sizes) + np.arange(ends[-1])]
+        out = [gathered[a:b].tobytes() for a, b in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
+        if not alone.all():
+            apart = np.append(alone, np.ones(len(texts), bool))[place]
+            for k in np.flatnonzero(~np.logical_and.reduceat(apart, first[:-1])).tolist():
+                out[k] = self._encode_joined(texts[k].split(" "))
         return out
 
-    def _learn(self, piece: str) -> bytes | None:
-        """Ids of a piece with the space in front of it; None: it goes with what precedes it."""
-        word = _WORD(piece)
-        if word:
-            letters, marks = word.groups()
-            if not marks:
-                return self._merge(" " + letters)
-            if marks not in self._marks:
-                self._marks[marks] = self._ids(marks)
-            return self._pieces[letters] + self._marks[marks]
-        if "\n" in piece:
-            # A line end between words is a piece of its own, and the word behind it begins without a space.
-            first, *others = map(_WORD, piece.split("\n"))
-            if first and all(others):
-                lines = [self._merge(w[1]) + (self._ids(w[2]) if w[2] else b"") for w in others]
-                return self._line_end.join([self._pieces[first[0]], *lines])
-        return self._ids(" " + piece) if stands_alone(piece) else None
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
-
-    def _merging(self, model: dict) -> Callable[[str], bytes]:
-        """Ids of a text that is one piece."""
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _merging(self, model: dict) -> Callable[[str], np.ndarray] | None:
+        """Ids of words with a space in front of each, where ids are ranks."""
         pairs = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         made = [model["vocab"].get(a + b) for a, b in pairs]
         ranks = {b: i for i, b in enumerate(self.token_bytes) if b and i not in self.specials.values()}
         if None in made or made != sorted(made) or len(ranks) != 256 + len(made) or model.get("ignore_merges"):
-            return self._ids
+            return None
         import tiktoken
 
-        core = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        ids_of = core._core_bpe.encode_single_piece
-        merge = lambda text: array("I", ids_of(text.encode())).tobytes()
+        core = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        merge = lambda text: np.array(core.encode_ordinary(text), "<u4")
         # Tokens side by side are where merges could differ.
         letters, rng = [b.decode() for b in ranks if b.isalpha() and b.isascii()], random.Random(0)
-        tried = [" " + "".join(rng.choices(letters, k=2)) for _ in range(2000)]
-        return merge if all(merge(t) == self._ids(t) for t in tried) else self._ids
+        tried = "".join([" " + "".join(rng.choices(letters, k=2)) for _ in range(2000)])
+        return merge if merge(tried).tobytes() == self._ids([tried])[0] else None
 
     def _encode_joined(self, pieces: list[str]) -> bytes:
         """Pieces that do not stand alone go with what precedes them."""

@@ -25,7 +25,8 @@ def expected(vocab, text):
 
 
 @pytest.mark.parametrize("letters", ALPHABETS)
-def test_tree_concatenation_equals_the_library(vocabulary_path, letters):
+def test_tree_concatenation_equals_the_library(vocabulary_path, letters, monkeypatch):
+    monkeypatch.setattr("lexloom.llm.vocabulary._FEW_CHARS", 0)
     vocab, rng = vocabulary(vocabulary_path), random.Random(len(letters))
     for _ in range(60):
         text = "".join(rng.choices(letters, k=rng.choice([0, 3, 20, 200])))
@@ -113,7 +114,7 @@ def test_symbols_take_the_bits_they_need(top):
 
 
 def test_pieces_equal_the_library(vocabulary_path, monkeypatch):
-    """Words merged by ranks, words across line ends, and pieces that were forgotten and came again."""
+    """Words merged by ranks, words across line ends, and short texts that go through the library."""
     import pyarrow.parquet as pq
 
     texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist()
@@ -122,8 +123,9 @@ def test_pieces_equal_the_library(vocabulary_path, monkeypatch):
     made = [rng.choice(words) + rng.choice(["", "\n", ".\n", "\n\n", "'\n", "\nß", "\n1"]) + rng.choice(words) for _ in range(500)]
     every = [t or "" for t in texts] + [" ".join(made[k : k + 20]) for k in range(0, 500, 20)]
     want = [expected(vocab, t) for t in every]
-    assert vocab._merge != vocab._ids
-    for limit in (10**9, 50):
-        monkeypatch.setattr("lexloom.llm.vocabulary.PIECES_KEPT", limit)
+    assert vocab._merge
+    for few, together in ((0, 20_000), (0, 7), (20_000, 20_000)):
+        monkeypatch.setattr("lexloom.llm.vocabulary._FEW_CHARS", few)
+        monkeypatch.setattr("lexloom.llm.vocabulary._WORDS_TOGETHER", together)
         for at in range(0, len(every), 30):
             assert [np.frombuffer(i, "<u4").tolist() for i in vocab.encode_all(every[at : at + 30])] == want[at : at + 30]

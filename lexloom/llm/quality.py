@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text, sum_arrays
-from lexloom.llm.wordscan import ALPHANUMERIC, NOT_SPACE, Block, blocks, sum_by_row, words_of
+from lexloom.llm.wordscan import ALPHANUMERIC, NOT_SPACE, Block, blocks, parts, sum_by_row, words_of
 
 VOCABULARY_BITS = 14
 DIMENSIONS = 32
@@ -39,6 +39,7 @@ RARITY = 1e-3  # a token that makes up this share of all tokens counts half
 PRIOR = 8
 HIDDEN = 24
 EPOCHS, BATCH, RATE = 40, 256, 0.01
+PART_BYTES = 1 << 19  # a text is worked through in parts of about this size
 
 _TOKEN = NOT_SPACE.astype(np.uint8)
 _TOKEN[ALPHANUMERIC] = 2
@@ -64,21 +65,26 @@ def context_sums(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
     index = index_vectors()
     total = np.zeros((1 << VOCABULARY_BITS, DIMENSIONS + 1))
     for batch in batches:
-        for block in blocks(batch.column(0), 1 << 19):
-            token, bounds = tokens_of(block)
-            if not len(token):
-                continue
-            row = np.repeat(np.arange(block.rows), np.diff(bounds))
-            around = np.zeros((len(token), DIMENSIONS), np.float32)
-            vectors = index[token]
-            for k in range(1, REACH + 1):
-                same = (row[k:] == row[:-k])[:, None]
-                around[k:] += vectors[:-k] * same
-                around[:-k] += vectors[k:] * same
-            order = np.argsort(token, kind="stable")
-            entries, first = np.unique(token[order], return_index=True)
-            total[entries, :-1] += np.add.reduceat(around[order], first, axis=0)
-            total[:, -1] += np.bincount(token, minlength=len(total))
+        for block in blocks(batch.column(0), PART_BYTES):
+            carry = np.zeros(0, np.int64)  # the last tokens of the part before, for one long text
+            for part in parts(block, PART_BYTES):
+                token, bounds = tokens_of(part)
+                row = np.concatenate([np.zeros(len(carry), np.int64), np.repeat(np.arange(part.rows), np.diff(bounds))])
+                new, token = len(carry), np.concatenate([carry, token])
+                if len(token) == new:
+                    continue
+                around = np.zeros((len(token), DIMENSIONS), np.float32)
+                vectors = index[token]
+                for k in range(1, REACH + 1):
+                    lo = max(k, new)  # pairs within the carried tokens have been counted
+                    same = (row[lo:] == row[lo - k : len(row) - k])[:, None]
+                    around[lo:] += vectors[lo - k : len(token) - k] * same
+                    around[lo - k : len(token) - k] += vectors[lo:] * same
+                order = np.argsort(token, kind="stable")
+                entries, first = np.unique(token[order], return_index=True)
+                total[entries, :-1] += np.add.reduceat(around[order], first, axis=0)
+                total[:, -1] += np.bincount(token[new:], minlength=len(total))
+                carry = token[-REACH:]
     return total
 
 
@@ -96,8 +102,12 @@ def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
 def pooled(block: Block, vectors: np.ndarray) -> np.ndarray:
     """The mean of each row's token vectors and of ``PRIOR`` average ones."""
-    token, bounds = tokens_of(block)
-    return (sum_by_row(vectors[token], bounds) + PRIOR * vectors[-1]) / (np.diff(bounds)[:, None] + PRIOR)
+    total, n = np.zeros((block.rows, vectors.shape[1])), np.zeros((block.rows, 1))
+    for part in parts(block, PART_BYTES):
+        token, bounds = tokens_of(part)
+        total += sum_by_row(vectors[token], bounds)
+        n += np.diff(bounds)[:, None]
+    return (total + PRIOR * vectors[-1]) / (n + PRIOR)
 
 
 @dataclass
@@ -176,7 +186,7 @@ def quality_model(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PART_BYTES):
                 some = batch.slice(block.first, block.rows)
                 packed = pa.array([v.tobytes() for v in pooled(block, shared.value).astype(np.float64)], pa.binary())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), packed], ["id", "label", "vector"])
@@ -197,7 +207,7 @@ def score_quality(docs: DataFrame, model: Model, keep: list[str] | None = None,
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(text_of(batch)):
+            for block in blocks(text_of(batch), PART_BYTES):
                 values = shared.value.network.score(pooled(block, shared.value.vectors))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.rows), pa.array(values)], ["row", "score"])
 

@@ -81,6 +81,25 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK_BYTES) -> Itera
         first = last
 
 
+def parts(block: Block, size: int = BLOCK_BYTES) -> Iterator[Block]:
+    """A block of one long text in parts of about ``size`` bytes that end behind white space; other blocks as they are."""
+    end = len(block.data)
+    if block.rows != 1 or end <= 2 * size:
+        yield block
+        return
+    at = 0
+    while at < end:
+        stop = at + size
+        while stop < end:
+            gaps = np.flatnonzero(~NOT_SPACE[block.data[stop : stop + size]])
+            stop = stop + int(gaps[0]) + 1 if len(gaps) else stop + size
+            if len(gaps):
+                break
+        stop = min(stop, end)
+        yield Block(block.first, 1, block.data[at:stop], np.array([0, stop - at]))
+        at = stop
+
+
 @dataclass
 class Words:
     """Words of a block in text order; ``bounds[i]:bounds[i + 1]`` are those of row ``i``."""

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from lexloom.llm import langid, quality, toxicity
 from lexloom.llm.boosting import BoostedTrees, isotonic
@@ -283,7 +284,9 @@ def plain_tokens(text):
     return [m.group() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0D]+", (text or "").encode())]
 
 
-def test_context_sums_and_pooled_vectors_equal_a_plain_version():
+@pytest.mark.parametrize("part_bytes", [quality.PART_BYTES, 16])
+def test_context_sums_and_pooled_vectors_equal_a_plain_version(monkeypatch, part_bytes):
+    monkeypatch.setattr(quality, "PART_BYTES", part_bytes)  # 16: every text is worked through in parts
     texts = random_texts(random.Random(8), 60)
     entry = {}
     for block in blocks(pa.array(texts), 1):
@@ -308,6 +311,21 @@ def test_context_sums_and_pooled_vectors_equal_a_plain_version():
         assert np.allclose(row, np.mean(np.array(tokens, float), axis=0), atol=1e-5)
 
 
+def test_a_long_text_takes_the_memory_of_its_parts():
+    import tracemalloc
+
+    text = "some words, more words! " * 400_000  # 10 MB
+    vectors = np.ones(((1 << quality.VOCABULARY_BITS) + 1, quality.DIMENSIONS), np.float32)
+    column = pa.array([text])
+    tracemalloc.start()
+    (block,) = blocks(column, quality.PART_BYTES)
+    quality.pooled(block, vectors)
+    quality.context_sums(iter([pa.record_batch([column], ["text"])]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20  # as much for any length
+
+
 def test_rows_that_repeat_an_id_do_not_depend_on_partitioning(spark):
     docs, labels = labelled(spark, str, lambda t, rng: " ".join(w + "%%%" for w in t.split()), "quality")
     twice = docs.unionByName(docs.selectExpr("doc_id", "concat(text, ' more words') AS text"))

@@ -1,5 +1,6 @@
 """Sources, sinks and the layered jobs, through disk."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lexloom.functions.dates import calendar
@@ -21,7 +22,7 @@ from lexloom.queries.registry import query
 from lexloom.schemas import SILVER_PARTITION_COLUMNS
 from lexloom.sources.readers import read_csv, read_parquet, read_table, register_views
 from lexloom.sources.scratch import fresh_path, materialize
-from lexloom.sources.writers import append, layout_report, overwrite, overwrite_csv, overwrite_partitioned
+from lexloom.sources.writers import append, layout_report, overwrite, overwrite_compact, overwrite_csv, overwrite_partitioned
 
 
 @query("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders")
@@ -53,6 +54,31 @@ def inline_values(spark, folder):
     return counted.join(labels, F.col("o_orderstatus") == F.col("code")).select("label", "n")
 
 
+@query(
+    "inferred_rows",
+    """SELECT label, CAST(r AS BIGINT) AS rank, COUNT(*) AS n FROM orders
+    JOIN (VALUES ('O', 'Open', 1), ('F', 'Fulfilled', 2), ('P', 'Pending', 3)) AS v(code, label, r) ON o_orderstatus = code GROUP BY label, r""",
+)
+def inferred_rows(spark, folder):
+    """Rows made in the program, their types taken from the values."""
+    labels = spark.createDataFrame([Row(code="O", label="Open", rank=1), Row(code="F", label="Fulfilled", rank=2), Row(code="P", label="Pending", rank=3)])
+    counted = orders(spark, folder).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(labels, F.col("o_orderstatus") == F.col("code")).select("label", "rank", "n")
+
+
+@query(
+    "coalesced_files",
+    "SELECT COUNT(*) AS rows, CAST(2 AS BIGINT) AS files FROM lineitem",
+)
+def coalesced_files(spark, folder):
+    """A wide job's rows in two files without moving one of them."""
+    path = fresh_path(spark, "coalesced")
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    even = F.col("l_orderkey") % 2 == 0
+    overwrite_compact(lines.filter(even).unionByName(lines.filter(~even)), path, 2, exchange=False)
+    return read_parquet(spark, path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_metadata.file_path").alias("files"))
+
+
 @query(
     "sql_views",
     """SELECT o_orderpriority, COUNT(*) AS num_orders FROM orders JOIN customer ON o_custkey = c_custkey

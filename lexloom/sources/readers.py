@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,20 @@ def register_views(spark: SparkSession, folder: str, names: list[str]) -> None:
         read_table(spark, folder, name).createOrReplaceTempView(name)
 
 
+#: So many rows are taken in order by the driver; more are put in ranges.
+FEW_ROWS = 10_000
+
+
+def _nth(rows: DataFrame, order: list[str], n: int) -> tuple[Row, int] | None:
+    """The n-th row in order and how many rows sort before its value; None if there are fewer."""
+    if n <= FEW_ROWS:
+        top = rows.orderBy(*order).limit(n).collect()
+        return (top[-1], n - top.count(top[-1])) if len(top) == n else None
+    numbered = ranked(materialize(rows, "subset-rows"), order_by=order, row_number="__n", rank="__rank")
+    last = numbered.filter(F.col("__n") == n).first()
+    return last and (last, last["__rank"] - 1)
+
+
 def first_by_key(df: DataFrame, key: str, n: int, digest_of: str = "text") -> DataFrame:
     """The first ``n`` rows in the order of ``key``, then the digest of the text, then the other columns.
 
@@ -62,23 +76,23 @@ def first_by_key(df: DataFrame, key: str, n: int, digest_of: str = "text") -> Da
         raise ValueError("n must not be negative")
     if n == 0:
         return df.limit(0)
-    numbered = ranked(materialize(df.select(key), "subset-keys"), order_by=[key], row_number="__n", rank="__rank")
-    last = numbered.filter(F.col("__n") == n).first()
-    if last is None:
+    found = _nth(df.select(key), [key], n)
+    if found is None:
         return df
+    last, before_last = found
     at_key = F.col(key).eqNullSafe(F.lit(last[key]))
     before = F.lit(False) if last[key] is None else (F.col(key) < F.lit(last[key])) | F.col(key).isNull()
     others = [f for f in df.schema.fields if f.name not in (key, digest_of)]
     position = {"__digest": F.md5(digest_of)}
     position |= {f"__o{i}": F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name) for i, f in enumerate(others)}
-    narrow = materialize(df.filter(at_key).select(*[c.alias(name) for name, c in position.items()]), "subset-boundary")
-    rest = n - last["__rank"] + 1
-    final = ranked(narrow, order_by=list(position), row_number="__n", rank="__rank").filter(F.col("__n") == rest).first()
+    narrow = df.filter(at_key).select(*[c.alias(name) for name, c in position.items()])
+    rest = n - before_last
+    final, before_final = _nth(narrow, list(position), rest)
     place = F.struct(*[c.alias(name) for name, c in position.items()])
     types = {f.name: f.dataType for f in narrow.schema.fields}
     bound = F.struct(*[F.lit(final[name]).cast(types[name]).alias(name) for name in position])
     # Rows equal to the last one in everything are interchangeable: one of them is repeated.
-    copies = F.explode(F.sequence(F.lit(1), F.lit(rest - final["__rank"] + 1).cast("int")))
+    copies = F.explode(F.sequence(F.lit(1), F.lit(rest - before_final).cast("int")))
     equal = df.filter(at_key & (place == bound)).limit(1).select(*df.columns, copies.alias("__copy")).drop("__copy")
     return df.filter(before | (at_key & (place < bound))).unionByName(equal)
 

@@ -42,14 +42,21 @@ def overwrite_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def overwrite_compact(df: DataFrame, path: str, files: int | None = None) -> None:
+def overwrite_compact(df: DataFrame, path: str, files: int | None = None, exchange: bool = True) -> None:
     """Overwrite with as few files as the size warrants.
 
     ``files`` forces a count (1 for a tiny table).  ``coalesce`` has no shuffle
     of its own and would pull the stage before it into that many tasks, so the
     rows are exchanged instead; by default adaptive execution picks the count.
+    ``exchange=False`` coalesces all the same: for rows that cost little to compute, or
+    to bring down the files of a wide job without moving a row.
     """
-    compact = df.hint("rebalance") if files is None else df.repartition(files)
+    if files is None:
+        if not exchange:
+            raise ValueError("without an exchange, say how many files")
+        compact = df.hint("rebalance")
+    else:
+        compact = df.repartition(files) if exchange else df.coalesce(files)
     compact.write.mode("overwrite").parquet(path)
 
 

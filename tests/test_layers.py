@@ -61,6 +61,10 @@ def test_single_file_tables(spark, bronze, tmp_path):
         assert len(list(Path(gold_path, name).glob("*.parquet"))) == 1
     overwrite_compact(bronze, str(tmp_path / "c"))
     assert stored_rows(spark, str(tmp_path / "c")) == 4
+    overwrite_compact(bronze.repartition(4), str(tmp_path / "d"), 1, exchange=False)
+    assert len(list((tmp_path / "d").glob("*.parquet"))) == 1 and stored_rows(spark, str(tmp_path / "d")) == 4
+    with pytest.raises(ValueError, match="how many files"):
+        overwrite_compact(bronze, str(tmp_path / "e"), exchange=False)
 
 
 def test_malformed_ids_are_kept_and_stopped_by_the_gate(spark, tmp_path):
@@ -133,7 +137,9 @@ def test_scratch_uses_the_configured_folder(spark, tmp_path, monkeypatch):
     assert previous is None or scratch.shared_folder(spark) == previous.rstrip("/")
 
 
-def test_the_first_rows_do_not_depend_on_the_input_order(spark):
+@pytest.mark.parametrize("few_rows", [readers.FEW_ROWS, 0])
+def test_the_first_rows_do_not_depend_on_the_input_order(spark, monkeypatch, few_rows):
+    monkeypatch.setattr(readers, "FEW_ROWS", few_rows)
     same = [("k2", f"t{i}", "text", ["1", None]) for i in range(8)] + [("k2", None, "text", None)] * 2
     rows = [("k1", "a", "x", None), ("k3", "b", "y", []), (None, "c", None, None), *same]
     schema = "celex_id string, title string, text string, eurovoc_concepts array<string>"

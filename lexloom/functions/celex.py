@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from lexloom.schemas import DOC_TYPE_LABELS, OTHER_LABEL, SECTOR_LABELS
 
 
+# Where an identifier holds its sector, year and document type.
+SECTOR_PATTERN = r"^(\d)"
+YEAR_PATTERN = r"^\d(\d{4})"
+TYPE_PATTERN = r"^\d{5}([A-Z])"
+
+
 def _leading(celex_id: Column | str, pattern: str) -> Column:
     # regexp_extract answers "" for no match; NULL is what a reader of the
     # partitioned layer gets back, so the two sides agree from the start.
@@ -17,16 +23,16 @@ def _leading(celex_id: Column | str, pattern: str) -> Column:
 
 
 def celex_sector(celex_id: Column | str) -> Column:
-    return _leading(celex_id, r"^(\d)")
+    return _leading(celex_id, SECTOR_PATTERN)
 
 
 def celex_year(celex_id: Column | str) -> Column:
     # try_cast: under ANSI rules a plain cast of a malformed id would fail the job.
-    return _leading(celex_id, r"^\d(\d{4})").try_cast("int")
+    return _leading(celex_id, YEAR_PATTERN).try_cast("int")
 
 
 def celex_doc_type(celex_id: Column | str) -> Column:
-    return _leading(celex_id, r"^\d{5}([A-Z])")
+    return _leading(celex_id, TYPE_PATTERN)
 
 
 def label_for(code: Column | str, labels: dict[str, str], default: str | None = None) -> Column:

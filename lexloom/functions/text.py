@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from lexloom.schemas import JOURNAL_HEADER_PATTERN
 
-# The characters that count as white space at either end.
+# The characters that count as white space at either end, and the runs that are squeezed.
 EDGE_WHITESPACE = " \t\n\x0b\f\r"
+HORIZONTAL_RUN, ONE_SPACE = r"[ \t]+", " "
+LINE_BREAK_RUN, PARAGRAPH_BREAK = r"\n{3,}", "\n\n"
 
 
 def trim_whitespace(column: Column | str) -> Column:
@@ -24,8 +26,8 @@ def clean_body(column: Column | str) -> Column:
     would try every run of white space inside the text as well.
     """
     body = F.regexp_replace(column, JOURNAL_HEADER_PATTERN, "")
-    body = F.regexp_replace(body, r"[ \t]+", " ")
-    body = F.regexp_replace(body, r"\n{3,}", "\n\n")
+    body = F.regexp_replace(body, HORIZONTAL_RUN, ONE_SPACE)
+    body = F.regexp_replace(body, LINE_BREAK_RUN, PARAGRAPH_BREAK)
     return trim_whitespace(body)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.plans.medallion import read_silver, to_silver
-from lexloom.plans.quality import QualityReport, observed_report, quality_measures, raise_on_findings
+from lexloom.plans.quality import QualityReport, quality_measures, raise_on_findings
 from lexloom.schemas import SILVER_PARTITION_COLUMNS, SILVER_SCHEMA
 from lexloom.sources.readers import read_parquet
 from lexloom.sources.scratch import materialize
@@ -94,7 +94,7 @@ def publish_silver(
     reports: list[QualityReport] = []
 
     def gate(counts: dict) -> None:
-        reports.append(observed_report(counts))
+        reports.append(QualityReport.of(counts))
         if strict:
             raise_on_findings(reports[0])
 

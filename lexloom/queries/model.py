@@ -88,7 +88,7 @@ def case_of(column: str, labels: dict[str, str], default: str) -> str:
 PARSED_SQL = BRONZE_SQL + r""", parsed AS (
   SELECT *, nullif(regexp_extract(celex_id, '^(\d)', 1), '') AS sector,
     TRY_CAST(nullif(regexp_extract(celex_id, '^\d(\d{4})', 1), '') AS INTEGER) AS year,
-    nullif(regexp_extract(celex_id, '^\d\d{4}([A-Z])', 1), '') AS doc_type
+    nullif(regexp_extract(celex_id, '^\d{5}([A-Z])', 1), '') AS doc_type
   FROM bronze)"""
 
 TYPE_LABEL_SQL = case_of("doc_type", DOC_TYPE_LABELS, f"'{OTHER_LABEL}'")

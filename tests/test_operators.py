@@ -8,6 +8,9 @@ from lexloom.operators.references import citation_chain, reach, successor_edges
 from lexloom.operators.trends import compare_periods, with_previous
 
 
+# Five documents, their links, and the totals that follow from them.
+
+
 @pytest.fixture
 def docs(spark):
     return spark.createDataFrame([(i, f"Doc {c}", 10 * i) for i, c in enumerate("ABCDE", 1)], "doc_id int, title string, articles int")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.storage import lean
 from lexloom.llm.vocabulary import TEXTS_TOGETHER, Vocabulary, vocabulary
 
 LEAF_CHARS = 16_384
@@ -243,12 +244,12 @@ def bpe_encode(
         )
         return pd.DataFrame({"id": [rows["id"].iloc[0]] * copies, "ids": [ids.astype("<i4")] * copies})
 
-    spread = long.select("id", F.xxhash64("id", "text").alias("row"), "text").mapInArrow(cut_long, piece)
+    spread = long.select("id", F.xxhash64("id", "text").alias("row"), "text").mapInArrow(lean(cut_long), piece)
     encoded = spread.repartition("row", "piece").mapInArrow(
-        encode_pieces, T.StructType([*piece.fields, T.StructField("ids", T.BinaryType())])
+        lean(encode_pieces), T.StructType([*piece.fields, T.StructField("ids", T.BinaryType())])
     )
     tall = encoded.groupBy("id", "row").applyInPandas(gather, out)
-    return short.mapInArrow(encode_short, out).unionByName(tall).withColumnRenamed("id", id_column)
+    return short.mapInArrow(lean(encode_short), out).unionByName(tall).withColumnRenamed("id", id_column)
 
 
 def bpe_decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -268,4 +269,4 @@ def bpe_decode(encoded: DataFrame, path: str, id_column: str = "doc_id", ids_col
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     rows = encoded.select(F.col(id_column).alias("id"), F.col(ids_column).cast("array<int>").alias("ids"))
-    return rows.mapInArrow(decode, out).withColumnRenamed("id", id_column)
+    return rows.mapInArrow(lean(decode), out).withColumnRenamed("id", id_column)

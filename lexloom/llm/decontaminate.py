@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm.labelled import rows_with_text
-from lexloom.llm.storage import new_folder, read_file, write_file
+from lexloom.llm.storage import lean, new_folder, read_file, write_file
 from lexloom.sources.scratch import materialize
 
 WINDOW = 10
@@ -215,4 +215,4 @@ def find_benchmark_text(
             ]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_hit", "items", "spans"])
 
-    return rows.mapInArrow(find, out)
+    return rows.mapInArrow(lean(find), out)

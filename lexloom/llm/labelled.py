@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.llm.storage import lean
+
 #: Most labelled rows that a classifier is fitted on.
 SAMPLE_ROWS = 20_000
 #: Fewest labelled rows that a classifier is fitted on.
@@ -51,7 +53,7 @@ def sum_arrays(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndar
         for row, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["piece", "sums"])
 
-    found = df.mapInArrow(part, "piece int, sums binary").repartition("piece").mapInArrow(add, "piece int, sums binary").collect()
+    found = df.mapInArrow(lean(part), "piece int, sums binary").repartition("piece").mapInArrow(add, "piece int, sums binary").collect()
     size = max((len(r["sums"]) // 8 for r in found), default=0)
     out = np.zeros((pieces, size))
     for r in found:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text, sum_arrays
+from lexloom.llm.storage import lean
 from lexloom.llm.wordscan import ALPHANUMERIC, NOT_SPACE, Block, blocks, parts, sum_by_row, words_of
 
 VOCABULARY_BITS = 14
@@ -191,7 +192,7 @@ def quality_model(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
                 packed = pa.array([v.tobytes() for v in pooled(block, shared.value).astype(np.float64)], pa.binary())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), packed], ["id", "label", "vector"])
 
-    found = known.select(F.col("id").cast("string").alias("id"), "text", "label").mapInArrow(pool, "id string, label int, vector binary")
+    found = known.select(F.col("id").cast("string").alias("id"), "text", "label").mapInArrow(lean(pool), "id string, label int, vector binary")
     # Rows that repeat an id come as one, whichever task finds them: SAMPLE_ROWS short rows at most.
     found = found.groupBy("id").agg(F.max("label").alias("label"), F.min("vector").alias("vector")).collect()
     found.sort(key=lambda r: r["id"])
@@ -211,4 +212,4 @@ def score_quality(docs: DataFrame, model: Model, keep: list[str] | None = None,
                 values = shared.value.network.score(pooled(block, shared.value.vectors))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.rows), pa.array(values)], ["row", "score"])
 
-    return rows.mapInArrow(score, out).select("row.*", F.col("score").alias(score_column))
+    return rows.mapInArrow(lean(score), out).select("row.*", F.col("score").alias(score_column))

@@ -7,11 +7,15 @@ rows are ever read.  A lost or repeated task leaves at worst an unread file.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
@@ -50,6 +54,20 @@ def read_file(path: str) -> bytes:
         return file.read()
 
 
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task after which its Python worker, which goes on to others, keeps no memory it has freed."""
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+        if trim:
+            trim(0)
+
+    return run
+
+
 def reach_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did.
 

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from lexloom.llm.boosting import BoostedTrees, isotonic
 from lexloom.llm.labelled import LEAST_ROWS, SAMPLE_ROWS, fold, labelled_sample, rows_with_text
+from lexloom.llm.storage import lean
 from lexloom.llm.wordscan import ALPHANUMERIC, Block, Words, blocks, prefix_hashes, sum_by_row, words_of
 from lexloom.operators.groups import first_per_group
 from lexloom.sources.scratch import materialize
@@ -207,7 +208,7 @@ def learn_lexicons(sample: DataFrame) -> list[Lexicon]:
 
     grown = sample.filter(F.col("part") != _REST)
     texts = {(r["part"], r["label"]): r["count"] for r in grown.groupBy("part", "label").count().collect()}
-    found = grown.select("part", "label", "text").mapInArrow(count, "kind int, group int, term long, n long")
+    found = grown.select("part", "label", "text").mapInArrow(lean(count), "kind int, group int, term long, n long")
     held = [F.sum(F.when(F.col("group") == g, F.col("n")).otherwise(F.lit(0))).alias(f"n{g}") for g in range(4)]
     terms = found.groupBy("kind", "term").agg(*held)
     choices, columns = [], []
@@ -262,7 +263,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
                     packed = pa.array([v.tobytes() for v in features(block, lexicon)], pa.binary())
                     yield pa.RecordBatch.from_arrays([*own.slice(block.first, block.rows).columns[:3], packed], ["id", "part", "label", "x"])
 
-    found = known.mapInArrow(describe, "id string, part int, label int, x binary").collect()  # FEATURES numbers a row
+    found = known.mapInArrow(lean(describe), "id string, part int, label int, x binary").collect()  # FEATURES numbers a row
     found.sort(key=lambda r: r["id"])
     x = np.array([np.frombuffer(r["x"]) for r in found])
     y, part = (np.array([r[c] for r in found]) for c in ("label", "part"))
@@ -283,4 +284,4 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str] | None = None,
                 values = shared.value.score(features(block, shared.value.lexicon))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.rows), pa.array(values)], ["row", "score"])
 
-    return rows.mapInArrow(score, out).select("row.*", F.col("score").alias(score_column))
+    return rows.mapInArrow(lean(score), out).select("row.*", F.col("score").alias(score_column))

@@ -2,7 +2,7 @@
 
 A byte-level vocabulary splits a text before it merges bytes, and it always
 splits in front of a space that a visible character follows, whatever stands
-before.  Texts are cut there, each distinct piece of some thousand texts is encoded
+before.  Texts are cut there, each distinct piece of some hundred texts is encoded
 once, and a text's ids are the ids of its pieces end to end.
 
 Where the ids of a vocabulary are the ranks of its merges, words are merged by
@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts worth encoding together: more of them repeat more pieces, and take more memory.
-TEXTS_TOGETHER = 2_000
+TEXTS_TOGETHER = 500
 #: Texts of fewer characters in all go through the library as they are.
 _FEW_CHARS = 20_000
 _WORDS_TOGETHER = 20_000

@@ -36,9 +36,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lexloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once, with options of the Parquet writer, and return the stored table."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.sources.scratch import materialize
+
+#: Numbers as differences, in the bits they need: for rows that one task is to read in great number.
+PACKED = {"compression": "zstd", "parquet.writer.version": "v2"}
+
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Idempotent Parquet write, one file per task."""
@@ -48,18 +55,29 @@ def overwrite_compact(df: DataFrame, path: str, files: int | None = None, exchan
     ``files`` forces a count (1 for a tiny table).  ``coalesce`` has no shuffle
     of its own and would pull the stage before it into that many tasks, so the
     rows are exchanged instead; by default adaptive execution picks the count.
-    ``exchange=False`` coalesces all the same: for rows that cost little to compute, or
-    to bring down the files of a wide job without moving a row.
+    ``exchange=False`` coalesces all the same, to bring down the files of a wide job without
+    an exchange: its tasks store their rows first, so that one of the few that write the files
+    reads its share of the rows, once, and nothing of what they came from.
     """
     if files is None:
         if not exchange:
             raise ValueError("without an exchange, say how many files")
         compact = df.hint("rebalance")
+    elif exchange:
+        compact = df.repartition(files)
     else:
-        compact = df.repartition(files) if exchange else df.coalesce(files)
+        compact = _stored_in_groups(df, files).coalesce(files)
     compact.write.mode("overwrite").parquet(path)
 
 
+def _stored_in_groups(df: DataFrame, groups: int) -> DataFrame:
+    """Store ``df`` by its own tasks; small files, too, are read by as many tasks as there are groups of them."""
+    stored = materialize(df, "compact-rows", **PACKED)
+    paths = sorted(unquote(p) for p in stored.inputFiles())
+    reader = df.sparkSession.read.schema(df.schema)
+    return reduce(DataFrame.union, [reader.parquet(*paths[k::groups]) for k in range(min(groups, len(paths)))])
+
+
 def overwrite_csv(df: DataFrame, path: str, date_format: str = "yyyy-MM-dd") -> None:
     """CSV with a header line."""
     df.write.mode("overwrite").option("header", True).option("dateFormat", date_format).csv(path)

@@ -2,6 +2,7 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from lexloom.operators import groups
@@ -67,6 +68,21 @@ def test_single_file_tables(spark, bronze, tmp_path):
         overwrite_compact(bronze, str(tmp_path / "e"), exchange=False)
 
 
+def test_files_are_brought_down_behind_a_wide_job(spark, tmp_path):
+    def by_task(batches):
+        for rows in batches:
+            yield rows.assign(task=TaskContext.get().partitionId())
+
+    wide = spark.range(0, 80, 1, 8).mapInPandas(by_task, "id long, task int")
+    for files in (2, 7):
+        path = tmp_path / f"files {files}"
+        overwrite_compact(wide, str(path), files, exchange=False)
+        assert len(list(path.glob("*.parquet"))) == files
+        stored = spark.read.parquet(str(path)).collect()
+        assert sorted(r.id for r in stored) == list(range(80))
+        assert len({r.task for r in stored}) == 8  # the job's own tasks, not those that write the files
+
+
 def test_malformed_ids_are_kept_and_stopped_by_the_gate(spark, tmp_path):
     bad = spark.createDataFrame([("BAD1", "t", TEXT, None)], BRONZE_SCHEMA)
     bad.write.parquet(str(tmp_path / "b"))

@@ -32,7 +32,8 @@ CHUNK_CHARS = 16_384
 LOOK_BACK = 256  # characters before a chunk that are read for its entry states
 GUESSES = 8  # entry states tried where no split is certain: runs that repeat with a period up to this are met
 FAN = 512
-ROWS = 500  # texts handed to Python at a time
+ROWS = 500  # texts read together
+CHUNKS = 100  # chunks read together, each in several states perhaps
 
 #: entry state -> (state at the end, tokens gained)
 StateMap = dict[str, tuple[str, int]]
@@ -67,12 +68,18 @@ def entry_states(machine: Transducer, before: str, whole: bool) -> tuple[list[St
 
 
 def state_map(machine: Transducer, before: str, whole: bool, chunk: str) -> tuple[StateMap, bool]:
-    states, certain = entry_states(machine, before, whole)
-    out = {}
-    for state in states:
-        end, gained = machine.walk(state, chunk)
-        out[machine.key(state)] = (machine.key(end), gained)
-    return out, certain
+    return state_maps(machine, [before], [whole], pa.array([chunk], pa.string()))[0]
+
+
+def state_maps(machine: Transducer, before: list[str], whole: list[bool], chunks: pa.Array) -> list[tuple[StateMap, bool]]:
+    """The state map of each chunk; True: it is entered in no other state."""
+    entered = [entry_states(machine, b, w) for b, w in zip(before, whole)]
+    entries = [(k, state) for k, (states, _) in enumerate(entered) for state in states]
+    walked = machine.walk_all([state for _, state in entries], chunks.take(pa.array([k for k, _ in entries], pa.int64())))
+    out = [({}, certain) for _, certain in entered]
+    for (k, state), (end, gained) in zip(entries, walked):
+        out[k][0][machine.key(state)] = (machine.key(end), gained)
+    return out
 
 
 def compose(first: StateMap, second: StateMap, certain: bool) -> StateMap:
@@ -136,7 +143,7 @@ def count_tokens(
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
-                tokens = [machine.count(text) for text in rows.column(2).to_pylist()]
+                tokens = [n for _, n in machine.walk_all([machine.start] * rows.num_rows, rows.column(2))]
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(tokens, pa.int64())], counted.names)
 
     row = [T.StructField("id", kind), T.StructField("row", T.LongType()), T.StructField("n_bytes", T.LongType())]
@@ -164,10 +171,10 @@ def count_tokens(
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
-                chunks, before, pieces = (rows.column(c).to_pylist() for c in (3, 4, 5))
-                found = [state_map(machine, b, c * chunk_chars <= LOOK_BACK, p) for c, b, p in zip(chunks, before, pieces)]
+            for at in range(0, batch.num_rows, CHUNKS):
+                rows = batch.slice(at, CHUNKS)
+                whole = [c * chunk_chars <= LOOK_BACK for c in rows.column(3).to_pylist()]
+                found = state_maps(machine, rows.column(4).to_pylist(), whole, rows.column(5))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *rows.columns[:4],

@@ -21,6 +21,11 @@ States are compiled when a text first needs them; beyond ``STATES_KEPT`` a proce
 them and compiles anew.  Between spaces, transitions that read a whole word are kept too,
 as long as they were used among the last ``WORDS_KEPT`` new ones.  ``Transducer.key`` names
 a state the same way in every process.
+
+``walk_all`` reads many texts at a time.  Most words are entered behind a word and a space and
+left so again: each distinct one is read once from there, all side by side, a character at a
+time, through the compiled transitions in arrays; a text gains what its words gain.  Words that
+are entered or left in another state are read in their place.
 """
 
 from __future__ import annotations
@@ -29,6 +34,10 @@ import json
 import os
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from lexloom.llm.vocabulary import byte_of_symbol
 
 #: States a process keeps, some 150 MB.
@@ -37,6 +46,7 @@ STATES_KEPT = 200_000
 WORDS_KEPT = 200_000
 _WORD_CHARS = 24
 _STRETCH = 65_536  # characters cut into words at a time
+_WORDS_TOGETHER = 8_192  # distinct words read side by side; between such blocks states may be forgotten
 
 #: What may follow an apostrophe at the start of a piece; the first letters of the long ones wait for the second.
 _SHORT = frozenset("stmd")
@@ -46,10 +56,57 @@ _LONG = {"r": "e", "v": "e", "l": "l"}
 Growing = tuple[tuple[int, int, int], ...]
 _FRESH: Growing = ((0, -1, 0),)
 
-#: A state's transitions by character: the next state and the tokens gained; under "" its own name.
+#: A state's transitions by character: the next state and the tokens gained; under "" its own name,
+#: under "number" the place it has in ``Transitions``, if any.
 State = dict[str, tuple]
 
 
+class Transitions:
+    """Compiled transitions in arrays, found by state number and character."""
+
+    def __init__(self):
+        self.states: list[State] = []
+        self._used = 0
+        self._make(1 << 16)
+
+    def _make(self, size: int) -> None:
+        self._shift = np.uint64(64 - (size.bit_length() - 1))
+        self._keys, self._next, self._gained = np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
+
+    def number(self, state: State) -> int:
+        if "number" not in state:
+            state["number"] = len(self.states)
+            self.states.append(state)
+        return state["number"]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slot of each key, or a free one for it, and whether it is there."""
+        slot = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+        met = self._keys[slot]
+        other = np.flatnonzero((met != keys) & (met >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & (len(self._keys) - 1)
+            met = self._keys[slot[other]]
+            other = other[(met != keys[other]) & (met >= 0)]
+        return slot, self._keys[slot] == keys
+
+    def add(self, keys: np.ndarray, after: np.ndarray, gained: np.ndarray) -> None:
+        """Add distinct keys that are not there yet."""
+        if (self._used + len(keys)) * 2 > len(self._keys):
+            there = np.flatnonzero(self._keys >= 0)
+            keys, after, gained = (np.concatenate([a[there], b]) for a, b in ((self._keys, keys), (self._next, after), (self._gained, gained)))
+            self._used = 0
+            self._make(1 << (2 * len(keys)).bit_length())
+        self._used += len(keys)
+        while len(keys):
+            slot, first = np.unique(self.find(keys)[0], return_index=True)
+            self._keys[slot], self._next[slot], self._gained[slot] = keys[first], after[first], gained[first]
+            keys, after, gained = (np.delete(a, first) for a in (keys, after, gained))
+
+    def at(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self._next[slot], self._gained[slot]
+
+
 class Transducer:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core already
@@ -97,6 +154,8 @@ class Transducer:
         self._apart: dict[int, bool] = {}
         self._words: dict[str, tuple[State, int]] = {}
         self._words_before: dict[str, tuple[State, int]] = {}
+        self._leaving: dict[tuple[str, str], tuple[str, Growing, Growing | None, int]] = {}
+        self._table = Transitions()
         self.start = self._state(("", _FRESH, None, ()))
         #: Behind a word and a space: words are read whole from here.
         self._space = self._read(self.start, "a ")[0]
@@ -153,6 +212,78 @@ class Transducer:
     def count(self, text: str) -> int:
         return self.walk(self.start, text)[1]
 
+    def walk_all(self, states: list[State], texts: pa.Array) -> list[tuple[State, int]]:
+        """``walk`` for many texts, each from its own state."""
+        words = pc.split_pattern(texts, " ")
+        first, coded = words.offsets.to_numpy().astype(np.int64), words.values.dictionary_encode()
+        place, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        # Between the first word of a text and what follows its last space.
+        inner = np.ones(len(place), bool)
+        inner[first[:-1]] = inner[first[1:] - 1] = False
+        numbers = np.unique(place[inner])
+        gained, back = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
+        gained[numbers], back[numbers] = self._read_words(distinct.take(pa.array(numbers)).to_pylist())
+        sums = np.concatenate([[0], np.cumsum(np.where(inner, gained[place], 0))])
+        others = np.append(np.flatnonzero(inner & ~back[place]), len(place))
+        word = lambda at: distinct[int(place[at])].as_py()
+        out = []
+        for state, at, last in zip(states, first[:-1].tolist(), (first[1:] - 1).tolist()):
+            total, behind_space = 0, False
+            while at < last:
+                if behind_space:
+                    stop = min(last, int(others[np.searchsorted(others, at)]))
+                    total += int(sums[stop] - sums[at])
+                    at = stop
+                    if at == last:
+                        break
+                state, more = self._read(state, word(at) + " ")
+                total += more
+                at += 1
+                behind_space = state[""] == self._space[""]
+                if behind_space:
+                    state = self._space
+            state, more = self._read(state, word(last))
+            out.append((state, total + more))
+        return out
+
+    def _read_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For words behind a word and a space: tokens gained with the space behind, and whether that leads there again.
+
+        Long words are left to be read in their place.
+        """
+        gained, back = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-length, kind="stable")
+        order = order[length[order] <= _WORD_CHARS]
+        for low in range(0, len(order), _WORDS_TOGETHER):
+            if len(self._states) > STATES_KEPT:
+                self._forget()
+            some = order[low : low + _WORDS_TOGETHER]
+            width, size = int(length[some[0]]) + 1, -length[some]
+            chars = np.array([words[k] + " " for k in some.tolist()], f"<U{width}").view(np.uint32).reshape(len(some), width)
+            space = self._table.number(self._space)
+            state, total = np.full(len(some), space, np.int64), np.zeros(len(some), np.int64)
+            for at in range(width):
+                n = int(np.searchsorted(size, -at, "right"))  # the longest come first
+                state[:n], more = self._read_side_by_side(state[:n] << 21 | chars[:n, at])
+                total[:n] += more
+            gained[some], back[some] = total, state == space
+        return gained, back
+
+    def _read_side_by_side(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states and tokens gained, for state numbers and a character each."""
+        table = self._table
+        slot, known = table.find(keys)
+        if not known.all():
+            fresh = np.unique(keys[~known])
+            steps = []
+            for key in fresh.tolist():
+                state, c = table.states[key >> 21], chr(key & 0x1FFFFF)
+                steps.append(state.get(c) or self._compile(state, c))
+            table.add(fresh, np.array([table.number(s) for s, _ in steps], np.int64), np.array([g for _, g in steps], np.int64))
+            slot = table.find(keys)[0]
+        return table.at(slot)
+
     def character_class(self, c: str) -> str:
         """L(etter), N(umber), S(pace) or O(ther), as the library splits."""
         found = self._classes.get(c)
@@ -163,9 +294,20 @@ class Transducer:
         return found
 
     def _grow(self, state: State, c: str) -> tuple[State, int]:
-        """Compile the transition of ``state`` on ``c``."""
+        """Compile the transition of ``state`` on ``c``, with room for it."""
+        if len(self._states) > STATES_KEPT:
+            self._forget()  # the state walked from lives on until it is left
+        return self._compile(state, c)
+
+    def _compile(self, state: State, c: str) -> tuple[State, int]:
         mode, growing, before, matches = state[""]
-        now = self._step(mode, growing, before, c)
+        if mode in ("L", "N", "O") and mode != self.character_class(c):
+            # A new piece, whatever grew in the one before.
+            now = self._leaving.get((mode, c))
+            if now is None:
+                now = self._leaving[mode, c] = self._step(mode, growing, before, c)
+        else:
+            now = self._step(mode, growing, before, c)
         gained = now[3]
         # Special strings that go on or begin here; the count at their start is kept relative to now.
         going = []
@@ -178,8 +320,6 @@ class Transducer:
                     state[c] = step
                     return step
                 going.append((which, length + 1, relative - gained))
-        if len(self._states) > STATES_KEPT:
-            self._forget()  # the state walked from lives on until it is left
         step = (self._state((*now[:3], tuple(going))), gained)
         state[c] = step
         return step

@@ -5,12 +5,14 @@ import random
 import re
 from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexloom.llm import conversation, tokencounts
 from lexloom.llm.merkle import digest_of, merkle_manifest, proof_digest
 from lexloom.llm.tokencounts import count_tokens
-from lexloom.llm.transducer import Transducer, transducer
+from lexloom.llm.transducer import Transducer, Transitions, transducer
 from pyspark.sql import functions as F
 
 
@@ -172,6 +174,48 @@ def test_counts_of_odd_texts(spark, odd_docs, no_docs, vocabulary_path, library,
     assert count_tokens(no_docs, vocabulary_path).count() == 0
 
 
+def test_texts_read_side_by_side_are_read_as_alone(vocabulary_path, library, monkeypatch):
+    monkeypatch.setattr("lexloom.llm.transducer._WORDS_TOGETHER", 3)
+    rng, machine = random.Random(8), transducer(vocabulary_path)
+    texts = ["", " ", "  ", "a", "a ", " a", "x\0 \0 y", "word " * 50, "z" * 40 + " and " + "ab" * 30 + " end", "<|endo ftext|> <|endoftext|> a <|endoftext|>"]
+    for alphabet in (PARTS, ["the", "ing", " ", " ", "s", ",", "\n"], [" "], [" ", "日本", "a"]):
+        texts += ["".join(rng.choices(alphabet, k=rng.choice([3, 20, 200]))) for _ in range(40)]
+    for kept in (200_000, 40):  # forgetting changes nothing
+        monkeypatch.setattr("lexloom.llm.transducer.STATES_KEPT", kept)
+        small = Transducer(vocabulary_path)
+        found = small.walk_all([small.start] * len(texts), pa.array(texts))
+        assert [n for _, n in found] == [library(t) for t in texts]
+        assert [small.key(s) for s, _ in found] == [machine.key(machine.walk(machine.start, t)[0]) for t in texts]
+    # From any state, which a forgetful machine may know under another number.
+    states = [machine.walk(machine.start, rng.choice(texts))[0] for _ in texts]
+    alone = [machine.walk(s, t) for s, t in zip(states, texts)]
+    found = small.walk_all([small.state(machine.key(s)) for s in states], pa.array(texts))
+    assert [(small.key(s), n) for s, n in found] == [(machine.key(s), n) for s, n in alone]
+    assert machine.walk_all([], pa.array([], pa.string())) == []
+
+
+def test_words_between_spaces_are_not_read_one_by_one(vocabulary_path, library, monkeypatch):
+    rng, read, plain = random.Random(4), [], Transducer._read
+    monkeypatch.setattr(Transducer, "_read", lambda self, state, text: read.append(len(text)) or plain(self, state, text))
+    texts = [" ".join("".join(rng.choices("etaoin", k=7)) for _ in range(200)) for _ in range(5)]
+    machine = Transducer(vocabulary_path)
+    found = machine.walk_all([machine.start] * 5, pa.array(texts))
+    assert [n for _, n in found] == [library(t) for t in texts]
+    assert sum(read) < sum(map(len, texts)) / 20  # first and last words
+
+
+def test_transitions_are_found_in_a_table_that_grows():
+    table, rng = Transitions(), np.random.default_rng(5)
+    keys = rng.permutation(np.unique(rng.integers(0, 1 << 52, 150_000)))
+    for low in range(0, len(keys), 1_000):
+        some = keys[low : low + 1_000]
+        table.add(some, some % 1_000_003, some % 7 - 3)
+    slot, known = table.find(keys)
+    after, gained = table.at(slot)
+    assert known.all() and (after == keys % 1_000_003).all() and (gained == keys % 7 - 3).all()
+    assert not table.find(keys + (1 << 53))[1].any()
+
+
 def test_other_vocabularies_are_refused():
     import public_tokenizers
 

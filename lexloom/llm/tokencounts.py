@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.storage import lean
 from lexloom.llm.transducer import State, Transducer, transducer
 from lexloom.sources.scratch import materialize
 
@@ -185,15 +186,15 @@ def count_tokens(
                 )
 
     pieces = long.select("id", F.xxhash64("id", "text").alias("row"), "n_bytes", "text").mapInArrow(cut, cut_out)
-    level = pieces.repartition("row", "chunk").mapInArrow(maps, map_out)
+    level = pieces.repartition("row", "chunk").mapInArrow(lean(maps), map_out)
     level = _joined(level.withColumn("copies", F.lit(1)), F.expr(f"chunk div {FAN}").alias("block"))
     level = _joined(level)
     # The first chunk is entered in the start state; no entry left means that a state was in no map.
     tall = materialize(level.select("id", "row", "n_bytes", "copies", F.get("map", 0)["gained"].alias("n_tokens")), "token-counts")
     known = tall.filter("n_tokens IS NOT NULL").select("id", "n_bytes", "n_tokens", F.expr("explode(sequence(1L, copies))"))
-    out = short.mapInArrow(count, counted).unionByName(known.select(*counted.names))
+    out = short.mapInArrow(lean(count), counted).unionByName(known.select(*counted.names))
     unknown = tall.filter("n_tokens IS NULL").select(F.col("row").alias("unknown"))
     if not unknown.isEmpty():
         again = long.join(unknown, F.xxhash64("id", "text") == F.col("unknown"), "left_semi")
-        out = out.unionByName(again.mapInArrow(count, counted))
+        out = out.unionByName(again.mapInArrow(lean(count), counted))
     return out.withColumnRenamed("id", id_column)

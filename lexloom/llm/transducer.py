@@ -46,6 +46,7 @@ STATES_KEPT = 200_000
 WORDS_KEPT = 200_000
 _WORD_CHARS = 24
 _STRETCH = 65_536  # characters cut into words at a time
+_BYTES_TOGETHER = 1 << 21  # of texts cut into words at a time; a longer text is walked alone
 _WORDS_TOGETHER = 8_192  # distinct words read side by side; between such blocks states may be forgotten
 
 #: What may follow an apostrophe at the start of a piece; the first letters of the long ones wait for the second.
@@ -214,6 +215,20 @@ class Transducer:
 
     def walk_all(self, states: list[State], texts: pa.Array) -> list[tuple[State, int]]:
         """``walk`` for many texts, each from its own state."""
+        out, low, size = [], 0, pc.binary_length(texts).to_pylist()
+        while low < len(size):
+            high, total = low + 1, size[low]
+            while high < len(size) and total + size[high] <= _BYTES_TOGETHER:
+                total += size[high]
+                high += 1
+            if total > _BYTES_TOGETHER:
+                out.append(self.walk(states[low], texts[low].as_py()))
+            else:
+                out += self._walk_together(states[low:high], texts.slice(low, high - low))
+            low = high
+        return out
+
+    def _walk_together(self, states: list[State], texts: pa.Array) -> list[tuple[State, int]]:
         words = pc.split_pattern(texts, " ")
         first, coded = words.offsets.to_numpy().astype(np.int64), words.values.dictionary_encode()
         place, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
@@ -225,24 +240,30 @@ class Transducer:
         gained[numbers], back[numbers] = self._read_words(distinct.take(pa.array(numbers)).to_pylist())
         sums = np.concatenate([[0], np.cumsum(np.where(inner, gained[place], 0))])
         others = np.append(np.flatnonzero(inner & ~back[place]), len(place))
-        word = lambda at: distinct[int(place[at])].as_py()
-        out = []
-        for state, at, last in zip(states, first[:-1].tolist(), (first[1:] - 1).tolist()):
-            total, behind_space = 0, False
+        many = np.diff(np.searchsorted(others, first)) * 8 > np.diff(first)  # read in their place
+        out, k = [], 0
+        for text, state, start, last, alone in zip(texts, states, first[:-1].tolist(), (first[1:] - 1).tolist(), many.tolist()):
+            if alone:
+                out.append(self.walk(state, text.as_py()))
+                continue
+            own, at, total, behind_space = None, start, 0, False
             while at < last:
                 if behind_space:
-                    stop = min(last, int(others[np.searchsorted(others, at)]))
+                    while others[k] < at:
+                        k += 1
+                    stop = min(last, int(others[k]))
                     total += int(sums[stop] - sums[at])
                     at = stop
                     if at == last:
                         break
-                state, more = self._read(state, word(at) + " ")
+                own = own or text.as_py().split(" ")
+                state, more = self._read(state, own[at - start] + " ")
                 total += more
                 at += 1
                 behind_space = state[""] == self._space[""]
                 if behind_space:
                     state = self._space
-            state, more = self._read(state, word(last))
+            state, more = self._read(state, own[-1] if own else text.as_py())
             out.append((state, total + more))
         return out
 

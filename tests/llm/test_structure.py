@@ -186,6 +186,9 @@ def test_texts_read_side_by_side_are_read_as_alone(vocabulary_path, library, mon
         found = small.walk_all([small.start] * len(texts), pa.array(texts))
         assert [n for _, n in found] == [library(t) for t in texts]
         assert [small.key(s) for s, _ in found] == [machine.key(machine.walk(machine.start, t)[0]) for t in texts]
+    # Nor does it matter which texts are together, or that one is too long for it.
+    monkeypatch.setattr("lexloom.llm.transducer._BYTES_TOGETHER", 100)
+    assert [n for _, n in small.walk_all([small.start] * len(texts), pa.array(texts))] == [library(t) for t in texts]
     # From any state, which a forgetful machine may know under another number.
     states = [machine.walk(machine.start, rng.choice(texts))[0] for _ in texts]
     alone = [machine.walk(s, t) for s, t in zip(states, texts)]

@@ -7,15 +7,19 @@ texts, of fixed size.  Texts with equal sets are one node.
 1. Candidates.  Two sets that overlap enough share one of their first n-grams
    (prefix filter), and the first one they share is not too far back (position
    filter).  Lists of texts that share a prefix n-gram give candidate pairs: all
-   of a list of up to ``SMALL_LIST``, else each with the list's leader.
+   of a list of up to ``SMALL_LIST``, else each with the list's leader.  Pairs
+   whose parities differ too much for the overlap go (``screens``): the sketch is
+   of fixed size, so in more texts more prefixes meet by chance.
 2. Overlaps.  The order is cut into ``FRAGMENTS`` of equal weight.  Each fragment
    of a pair's sets is intersected on its own, and the partial overlaps are
    summed per pair.
 3. Long lists.  Where the texts of a long list are not all in one component
-   after that, lists with texts in common form a group, and all its texts are
-   compared, a pair of blocks in a task.  A task counts overlaps fragment by
-   fragment in matrices and returns links only, so no link that could change a
-   component is lost, and no pair becomes a row.
+   after that, those whose parities leave room for enough overlap form a group:
+   within a list, or for lists of more than ``BLOCK`` within all such lists that
+   have texts in common.  All texts of a group are compared, a pair of blocks in
+   a task.  A task counts overlaps fragment by fragment in matrices.  Tasks return
+   forests of links only, so no link that could change a component is lost, and
+   no pair becomes a row.
 
 Sets hold 56-bit hashes, of which 48 bits are compared within a pair; unequal
 n-grams are taken as equal with a chance of about one in 10^8 for two texts of a
@@ -40,6 +44,8 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.blocks import forest, runs_of_rows
 from lexloom.llm.components import connected_components
+from lexloom.llm.screens import among, differing_pairs, differing_rows, parity
+from lexloom.llm.storage import lean
 from lexloom.llm.wordscan import NOT_SPACE, Block, blocks, mixed, words_of
 from lexloom.sources.scratch import materialize
 
@@ -139,7 +145,7 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
             packed = zlib.compress(total.tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([packed], pa.binary())], ["row", "counts"])
 
-    parts = texts.select("text").mapInArrow(count, "row int, counts binary")
+    parts = texts.select("text").mapInArrow(lean(count), "row int, counts binary")
     sums = parts.repartition("row").mapInArrow(add, "row int, counts binary").collect()  # SKETCH_ROWS rows at most
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in sums:
@@ -162,29 +168,32 @@ def _signature(keys: np.ndarray) -> int:
 
 
 def _members(texts: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
-    """(id, size, sig, prefix) of every text; copies after the first in a task come without their prefix."""
+    """(id, size, sig, prefix, parity) of every text; copies after the first in a task, and rows without an id, lack the last two."""
     shared = texts.sparkSession.sparkContext.broadcast(order)  # of fixed size
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for block in blocks(batch.column(1)):
-                sizes, sigs, prefixes = [], [], []
-                for hashes in ngram_hashes(block, n):
+                sizes, sigs, prefixes, parities = [], [], [], []
+                ids = batch.column(0).slice(block.first, block.rows)
+                for unnamed, hashes in zip(ids.is_null().to_pylist(), ngram_hashes(block, n)):
                     keys = np.sort(shared.value.keys(hashes))
                     size, sig = len(keys), _signature(keys)
                     sizes.append(size)
                     sigs.append(sig)
-                    if (size, sig) in seen:
+                    if unnamed or (size, sig) in seen:
                         prefixes.append(None)
+                        parities.append(None)
                     else:
                         prefixes.append(keys[: prefix_length(size, num, den)].view(np.int64))
+                        parities.append(parity(keys))
                         seen = set() if len(seen) >= CLASSES_SEEN else seen
                         seen.add((size, sig))
-                ids = batch.column(0).slice(block.first, block.rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int32()), pa.array(sigs, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["id", "size", "sig", "prefix"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int32()), pa.array(sigs, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.binary())], ["id", "size", "sig", "prefix", "parity"])
 
-    return materialize(texts.select("id", "text").mapInArrow(build, "id long, size int, sig long, prefix array<long>"), "ngram-members")
+    built = texts.select("id", "text").mapInArrow(lean(build), "id long, size int, sig long, prefix array<long>, parity binary")
+    return materialize(built, "ngram-members")
 
 
 def _possible(num: int, den: int) -> Column:
@@ -206,54 +215,81 @@ def _unpacked(part: pa.BinaryScalar) -> np.ndarray:
     return wide.view(np.uint64).reshape(-1)
 
 
-def _texts_of(texts: DataFrame, wanted: DataFrame, id_column: str) -> DataFrame:
-    """Rows of ``wanted`` with their text.  Both sides are sorted by id at any size: what is wanted grows with the data."""
-    return texts.join(wanted.hint("merge"), texts["id"] == wanted[id_column]).drop(texts["id"])
-
-
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.col("a.rep").alias("hub"), F.col("a.size").alias("hub_size"), F.col("b.rep").alias("member"), F.col("b.size").alias("member_size"))
-
-
-def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int, den: int, name: str) -> DataFrame:
-    """Pairs (a, b) whose sets overlap enough, from partial overlaps per fragment of the order."""
+def _sets(texts: DataFrame, wanted: DataFrame, key: str, order: Order, n: int, cuts: np.ndarray) -> DataFrame:
+    """(id, size, fragment, keys) of the texts with wanted ids, a row for each fragment between the cuts that a set reaches."""
     shared = texts.sparkSession.sparkContext.broadcast(order)
-    wanted = pairs.select("hub", "member").unionByName(pairs.select("hub", F.col("hub").alias("member")).distinct())
-    one_each = _texts_of(texts, wanted, "member").select("hub", "member", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(2)):
-                at, fragments, parts = [], [], []
+            for block in blocks(batch.column(1)):
+                at, sizes, fragments, parts = [], [], [], []
                 for row, hashes in enumerate(ngram_hashes(block, n)):
                     keys = np.sort(shared.value.keys(hashes))
-                    bounds = [0, *np.searchsorted(keys, shared.value.cuts).tolist(), len(keys)]
+                    bounds = [0, *np.searchsorted(keys, cuts).tolist(), len(keys)]
                     for f, (a, b) in enumerate(zip(bounds, bounds[1:])):
                         if a < b:
                             at.append(block.first + row)
+                            sizes.append(len(keys))
                             fragments.append(f)
                             parts.append(_packed(keys[a:b]))
-                at = pa.array(at, pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(fragments, pa.int32()), pa.array(parts, pa.binary())], ["hub", "member", "fragment", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(sizes, pa.int32()), pa.array(fragments, pa.int32()), pa.array(parts, pa.binary())], ["id", "size", "fragment", "keys"])
+
+    return among(texts.select("id", "text"), "id", wanted, key).mapInArrow(lean(cut), "id long, size int, fragment int, keys binary")
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("a.rep").alias("hub"), F.col("a.size").alias("hub_size"), F.col("b.rep").alias("member"), F.col("b.size").alias("member_size"))
+
+
+def room_for_overlap(size_a: np.ndarray, size_b: np.ndarray, differing: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets with so many members that only one of them has, or more, can overlap enough."""
+    both = size_a + size_b
+    return (both - np.maximum(differing, np.abs(size_a - size_b))) * (num + den) >= 2 * num * both
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs without those whose parities show too little overlap."""
+    for side in ("hub", "member"):
+        of_side = classes.select(F.col("rep").alias(side), F.col("size").alias(f"{side}_size"), F.col("parity").alias(f"{side}_parity"))
+        pairs = pairs.join(of_side, [side, f"{side}_size"])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_numpy().astype(np.int64) for c in (1, 3)]
+            room = room_for_overlap(*sizes, differing_rows(batch.column(4), batch.column(5)), num, den)
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], batch.schema.names[:4]).filter(pa.array(room))
+
+    columns = ["hub", "hub_size", "member", "member_size"]
+    return pairs.select(*columns, "hub_parity", "member_parity").mapInArrow(keep, "hub long, hub_size int, member long, member_size int")
+
+
+def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int, den: int, name: str) -> DataFrame:
+    """Pairs (a, b) whose sets overlap enough, from partial overlaps per fragment of the order."""
+    own = pairs.select("hub", F.col("hub").alias("member"), F.col("hub_size").alias("member_size")).distinct()
+    wanted = pairs.select("hub", "member", "member_size").unionByName(own)
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by hub and fragment, the hub's own first; only that one is held."""
-        now, held = None, np.zeros(0, np.uint64)
+        """Rows come by hub and fragment, the hub's own first; only that one is held.  Rows of a text that comes again count once."""
+        now, held, last = None, np.zeros(0, np.uint64), None
         for batch in batches:
             hubs, members, fragments = (batch.column(c).to_pylist() for c in range(3))
             out = []
             for row, (hub, member, fragment) in enumerate(zip(hubs, members, fragments)):
-                keys = _unpacked(batch.column(3)[row])
+                part = batch.column(3)[row]
                 if hub == member:
-                    now, held = (hub, fragment), np.sort(keys)
-                elif now == (hub, fragment):
+                    now, held = (hub, fragment), np.sort(_unpacked(part))
+                elif now == (hub, fragment) and (now, member, part) != last:
+                    last, keys = (now, member, part), _unpacked(part)
                     at = np.searchsorted(held, keys)
                     out.append((hub, member, int((held[np.minimum(at, len(held) - 1)] == keys).sum())))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)], ["hub", "member", "common"])
 
-    segments = one_each.mapInArrow(cut, "hub long, member long, fragment int, keys binary")
-    own_first = ["hub", "fragment", F.col("hub") != F.col("member")]
-    partial = segments.repartition("hub", "fragment").sortWithinPartitions(*own_first).mapInArrow(overlap, "hub long, member long, common long")
+    # Both sides are sorted by id at any size: what is wanted grows with the data.
+    segments = _sets(texts, wanted, "member", order, n, order.cuts)
+    segments = segments.join(wanted.hint("merge"), (F.col("id") == F.col("member")) & (F.col("size") == F.col("member_size")))
+    segments = segments.select("hub", "member", "fragment", "keys").repartition("hub", "fragment")
+    own_first = ["hub", "fragment", F.col("hub") != F.col("member"), "member"]
+    partial = segments.sortWithinPartitions(*own_first).mapInArrow(overlap, "hub long, member long, common long")
     common = partial.groupBy("hub", "member").agg(F.sum("common").alias("common"))
     either = F.col("hub_size") + F.col("member_size") - F.col("common")
     linked = pairs.join(common, ["hub", "member"]).filter(F.col("common") * den >= either * num)
@@ -280,50 +316,86 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], cuts: np.ndarray)
     return total
 
 
-def _compare_groups(texts: DataFrame, placed: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) between texts of different components whose long lists hang together."""
-    shared = texts.sparkSession.sparkContext.broadcast(order)
-    hung = placed.groupBy("key").agg(F.min("rep").alias("first"))
-    groups = connected_components(placed.select("key", "rep").join(hung, "key"), "rep", "first")
-    members = placed.select("rep", "component").distinct().join(groups.select(F.col("node").alias("rep"), F.col("component").alias("group")), "rep")
+def _tasks(members: DataFrame, name: str) -> DataFrame:
+    """(group, lo, hi, side, rep, component): each pair of blocks of each group with its texts; ``members`` has group, rep, component."""
     sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
     members = members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     tasks = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
         "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "component",
     )
-    tasks = materialize(tasks, "ngram-tasks")
-    by_task = ["group", "lo", "hi"]
+    return materialize(tasks, name)
+
+
+def _sides(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a task's two blocks, or of its only one twice."""
+    side = rows.column(3).to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return left, right if len(right) or rows.column(1)[0] != rows.column(2)[0] else left
+
+
+def _by_task(rows: DataFrame) -> DataFrame:
+    return rows.repartition("group", "lo", "hi").sortWithinPartitions("group", "lo", "hi")
+
+
+def _hung(rows: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    """A forest of the links between rows, as links (a, b)."""
+    ids, label = rows.column(4).to_numpy(), forest(rows.num_rows, left, right)
+    hung = np.flatnonzero(label != np.arange(rows.num_rows))
+    return pa.RecordBatch.from_arrays([pa.array(ids[hung]), pa.array(ids[label[hung]])], ["a", "b"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(6)):
-                parts = [_packed(np.sort(shared.value.keys(h))) for h in ngram_hashes(block, n)]
-                some = batch.slice(block.first, block.rows)
-                yield pa.RecordBatch.from_arrays([*some.columns[:6], pa.array(parts, pa.binary())], [*some.schema.names[:6], "keys"])
+
+def _similar_groups(placed: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(group, rep, component) of texts that may link with one of a different component in a long list."""
+    units = placed.filter(F.col("m") <= BLOCK).select(F.col("key").alias("group"), "rep", "component")
+    longest = placed.filter(F.col("m") > BLOCK)
+    if not longest.isEmpty():
+        hung = longest.groupBy("key").agg(F.min("rep").alias("first"))
+        joint = connected_components(longest.select("key", "rep").join(hung, "key"), "rep", "first")
+        joint = joint.select(F.col("component").alias("group"), F.col("node").alias("rep"))
+        units = units.unionByName(longest.select("rep", "component").distinct().join(joint, "rep").select("group", "rep", "component"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of_rows(batches, 3):
+            left, right = _sides(rows)
+            if not len(left) or not len(right):
+                continue
+            component, size = (rows.column(c).to_numpy().astype(np.int64) for c in (5, 6))
+            differing = differing_pairs(*(rows.column(7).take(pa.array(at)) for at in (left, right)))
+            room = room_for_overlap(size[left][:, None], size[right][None, :], differing, num, den)
+            a, b = np.nonzero(room & (component[left][:, None] != component[right][None, :]))
+            yield _hung(rows, left[a], right[b])
+
+    # The tasks are stored, so their true size decides how they meet the parities.
+    tasks = _tasks(units, "ngram-units").join(classes.select("rep", "size", "parity"), "rep")
+    tasks = _by_task(tasks.select("group", "lo", "hi", "side", "rep", "component", "size", "parity"))
+    similar = materialize(tasks.mapInArrow(compare, "a long, b long"), "ngram-similar")
+    groups = connected_components(similar).select(F.col("component").alias("group"), F.col("node").alias("rep"))
+    return placed.select("rep", "component").distinct().join(groups, "rep").select("group", "rep", "component")
+
+
+def _compare_groups(texts: DataFrame, placed: DataFrame, classes: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) between texts of different components that share a long list."""
+    tasks = _tasks(_similar_groups(placed, classes, num, den), "ngram-tasks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(46)  # the bits that are left are even
         for rows in runs_of_rows(batches, 3):
-            side, ids, component = (rows.column(c).to_numpy() for c in (3, 4, 5))
-            sets = [_unpacked(k) for k in rows.column(6)]
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            right = right if len(right) or rows.column(1)[0] != rows.column(2)[0] else left
+            left, right = _sides(rows)
             if not len(left) or not len(right):
                 continue
+            component = rows.column(5).to_numpy()
+            sets = [_unpacked(k) for k in rows.column(6)]
             common = overlaps([sets[i] for i in left], [sets[i] for i in right], cuts)
             size = np.array([len(s) for s in sets])
             either = size[left][:, None] + size[right][None, :] - common
             a, b = np.nonzero((common * den >= either * num) & (component[left][:, None] != component[right][None, :]))
-            label = forest(len(ids), left[a], right[b])
-            hung = np.flatnonzero(label != np.arange(len(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[hung]), pa.array(ids[label[hung]])], ["a", "b"])
+            yield _hung(rows, left[a], right[b])
 
-    # The tasks are stored, so their true size decides how they meet the texts.
-    sets = texts.join(tasks, texts["id"] == tasks["rep"]).select(*by_task, "side", "rep", "component", "text")
-    sets = sets.mapInArrow(cut, "group long, lo int, hi int, side int, rep long, component long, keys binary")
-    found = sets.repartition(*by_task).sortWithinPartitions(*by_task).mapInArrow(compare, "a long, b long")
-    return materialize(found, "ngram-links")
+    # The tasks are stored, so their true size decides how they meet the sets.
+    sets = _sets(texts, tasks, "rep", order, n, order.cuts[:0])
+    sets = sets.join(tasks, sets["id"] == tasks["rep"]).select("group", "lo", "hi", "side", "rep", "component", "keys")
+    return materialize(_by_task(sets).mapInArrow(compare, "a long, b long"), "ngram-links")
 
 
 def ngram_jaccard_join(
@@ -336,7 +408,7 @@ def ngram_jaccard_join(
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     order = frequency_order(texts, n)
     members = _members(texts, order, n, num, den)
-    classes = members.filter("size > 0 AND id IS NOT NULL").groupBy("size", "sig").agg(F.min("id").alias("rep"))
+    classes = members.filter("size > 0 AND id IS NOT NULL").groupBy("size", "sig").agg(F.min("id").alias("rep"), F.max("parity").alias("parity"))
     classes = materialize(classes, "ngram-classes")
 
     # Lists of different sets that share a prefix n-gram; those of one set are dropped where they are sorted.
@@ -344,7 +416,7 @@ def ngram_jaccard_join(
     same_key = Window.partitionBy("key")
     entries = entries.repartition("key").dropDuplicates(["key", "size", "sig"])
     lists = entries.withColumn("m", F.count("*").over(same_key)).filter("m > 1")
-    lists = materialize(lists.join(classes, ["size", "sig"]).select("key", "rep", "size", "pos", "m"), "ngram-lists")
+    lists = materialize(lists.join(classes.drop("parity"), ["size", "sig"]).select("key", "rep", "size", "pos", "m"), "ngram-lists")
 
     # The one with the smaller hash is the hub, so a group of near copies gathers around few hubs.
     rank = lambda side: F.struct(F.xxhash64(f"{side}.rep"), F.col(f"{side}.rep"))
@@ -355,16 +427,17 @@ def ngram_jaccard_join(
     leaders = long.groupBy("key").agg(F.min_by(F.struct("rep", "size", "pos"), F.struct(salted, "rep")).alias("lead"))
     leaders = leaders.select("key", "lead.*")
     in_long = leaders.alias("a").join(long.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") != F.col("b.rep")) & _possible(num, den))
-    pairs = materialize(_pairs(in_small).unionByName(_pairs(in_long)).distinct(), "ngram-pairs")
+    pairs = _pairs(in_small).unionByName(_pairs(in_long)).distinct()
+    pairs = materialize(_similar(pairs, classes, num, den), "ngram-pairs")
     links = _verify(texts, pairs, order, n, num, den, "ngram-links")
     components = connected_components(links)
 
     # Long lists whose texts are not all together yet.
     placed = long.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).filter("apart")
-    placed = materialize(placed.join(apart, "key").select("key", "rep", "component"), "ngram-apart")
+    placed = materialize(placed.join(apart, "key").select("key", "m", "rep", "component"), "ngram-apart")
     if not placed.isEmpty():
-        links = links.unionByName(_compare_groups(texts, placed, order, n, num, den))
+        links = links.unionByName(_compare_groups(texts, placed, classes, order, n, num, den))
         components = connected_components(links)
 
     of_class = classes.join(components, F.col("rep") == F.col("node"), "left").select("size", "sig", F.coalesce("component", "rep").alias("component_id"))

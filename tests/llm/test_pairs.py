@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from lexloom.llm import components, ngramjoin, vectors
+from lexloom.llm import components, ngramjoin, screens, vectors
 from lexloom.llm.blocks import forest
 
 
@@ -88,6 +88,85 @@ def test_hot_copies_are_one_node(spark):
     assert all(r.component_id == r.doc_id for r in found if r.doc_id >= 400)
 
 
+def woven(k, words):
+    """Texts that share a phrase of many words with each of k others, and are not similar."""
+    phrases = [[[f"w{i}x{j}y{at}" for at in range(words)] for j in range(k)] for i in range(k)]
+    texts = [sum(row, []) for row in phrases] + [sum(column, []) for column in zip(*phrases)]
+    return [(i, " ".join(text)) for i, text in enumerate(texts)]
+
+
+@pytest.mark.parametrize("small_list", [16, 1])
+def test_texts_that_meet_by_chance_are_not_moved(spark, monkeypatch, small_list):
+    """Neither as pairs of a short list nor as a group of long ones."""
+    stored = {}
+
+    def counted(df, name, materialize=ngramjoin.materialize):
+        stored[name] = (out := materialize(df, name)).count()
+        return out
+
+    monkeypatch.setattr(ngramjoin, "SMALL_LIST", small_list)
+    monkeypatch.setattr(ngramjoin, "BLOCK", 3)
+    monkeypatch.setattr(ngramjoin, "materialize", counted)
+    rows = woven(6, 100)
+    rows += [(100, rows[2][1] + " and more"), (101, rows[9][1] + " at its end"), (102, rows[9][1].replace(" w3x3y50 ", " else "))]
+    sets, groups = plain_join(rows)
+    found = ngramjoin.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert groups[100] == 2 and groups[101] == groups[102] == 9 and len(set(groups.values())) == 12
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), groups[i]) for i, s in sets.items()}
+    assert stored["ngram-lists"] > 1000 and 2 <= stored["ngram-pairs"] <= 8 and stored.get("ngram-tasks", 0) <= 4
+
+
+def test_a_text_that_comes_again_counts_once(spark):
+    base = [f"w{k}" for k in range(104)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:52] + [f"v{k}" for k in range(52)])), (3, " ".join(base[:-4]))] * 2 + [(1, "one more text")]
+    texts = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    pairs = spark.createDataFrame([(1, 100, 2, 100), (1, 100, 3, 96)], "hub long, hub_size int, member long, member_size int")
+    found = ngramjoin._verify(texts, pairs, ngramjoin.frequency_order(texts, 5), 5, 80, 100, "links")
+    assert [tuple(r) for r in found.collect()] == [(1, 3)]
+
+
+def test_a_copy_without_an_id_hides_no_text(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(None, text), (5, text), (7, text + " end")], "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.component_id) for r in ngramjoin.ngram_jaccard_join(docs).collect()} == {(None, None), (5, 5), (7, 5)}
+
+
+def test_rows_among_wanted_keys(spark):
+    rows = spark.range(-5000, 5000).unionByName(spark.createDataFrame([(None,), (2**62,)], "id long"))
+    wanted = spark.createDataFrame([(k,) for k in [*range(0, 3000, 3), -7, 2**62, 10**9]] + [(None,)], "key long").repartition(4)
+    some, rest = (sorted(r.id for r in part.collect() if r.id is not None) for part in screens.parted(rows, "id", wanted, "key"))
+    assert {*range(0, 3000, 3), -7, 2**62} <= {*some} and len(some) < 1100
+    assert sorted(some + rest) == [*range(-5000, 5000), 2**62]
+    none = screens.parted(rows, "id", wanted.limit(0), "key")
+    assert none[0].count() == 0 and none[1].count() == 10_002
+
+
+def test_parities_differ_no_more_than_sets(monkeypatch):
+    monkeypatch.setattr(screens, "PARITY_WORDS", 8)
+    monkeypatch.setattr(screens, "WORDS_AT_ONCE", 16)
+    rng, base = np.random.default_rng(4), np.unique(np.random.default_rng(5).integers(0, 2**56, 3000, dtype=np.uint64))
+    sets = [base[:n] for n in (1, 3, 63, 64, 65, 100, 128, 400, 3000)]
+    sets += [np.unique(np.append(s[rng.random(len(s)) < 0.9], rng.integers(0, 2**56, 5, dtype=np.uint64))) for s in sets]
+    parities = ngramjoin.pa.array([screens.parity(s) for s in sets], ngramjoin.pa.binary())
+    differing = screens.differing_pairs(parities, parities.slice(2))
+    for a, left in enumerate(sets):
+        for b, right in enumerate(sets[2:]):
+            assert differing[a, b] <= len(np.setxor1d(left, right))
+    assert {len(p.as_py()) for p in parities} == {8, 16, 64}
+    rows = np.arange(len(sets) - 2)
+    assert (screens.differing_rows(parities.slice(0, len(rows)), parities.slice(2)) == differing[rows, rows]).all()
+    assert not np.diag(screens.differing_pairs(parities, parities)).any() and differing[12, 3] < 30 < differing[5, 2 + 14 - 2]
+
+
+def test_room_is_left_to_all_similar_sets():
+    rng = np.random.default_rng(7)
+    a, b = rng.integers(1, 300, 5000), rng.integers(1, 300, 5000)
+    common = (np.minimum(a, b) * rng.random(5000) ** 0.1).astype(np.int64)
+    similar = 100 * common >= 80 * (a + b - common)
+    room = ngramjoin.room_for_overlap(a, b, a + b - 2 * common, 80, 100)
+    assert similar.any() and (room == similar).all()
+
+
 def plain_vectors(rows, cosine):
     units = {i: np.array(v, float) / np.linalg.norm(v) for i, v in rows}
     links = [(a, b) for a in units for b in units if a < b and len(units[a]) == len(units[b]) and units[a] @ units[b] >= cosine]

@@ -20,6 +20,7 @@ from lexloom.llm.decontaminate import find_benchmark_text
 from lexloom.llm.ngramjoin import ngram_jaccard_join
 from lexloom.llm.quality import quality_model, score_quality
 from lexloom.llm.queries import bpe_digests, byte_vocabulary
+from lexloom.llm.screens import parted
 from lexloom.llm.storage import reach_package
 from lexloom.llm.toxicity import score_toxicity, toxicity_model
 from lexloom.sources.readers import read_table
@@ -48,7 +49,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_package(spark)
     groups = materialize(ngram_jaccard_join(docs), "near-copies")
     dropped = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    # The documents are far larger than what is dropped: only those that may go are moved to the join.
+    doubtful, others = parted(docs, "doc_id", dropped, "doc_id")
+    kept = doubtful.join(dropped, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns]).unionByName(others)
     repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept

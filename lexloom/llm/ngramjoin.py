@@ -146,7 +146,7 @@ def frequency_order(texts: DataFrame, n: int) -> Order:
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([packed], pa.binary())], ["row", "counts"])
 
     parts = texts.select("text").mapInArrow(lean(count), "row int, counts binary")
-    sums = parts.repartition("row").mapInArrow(add, "row int, counts binary").collect()  # SKETCH_ROWS rows at most
+    sums = parts.repartition("row").mapInArrow(lean(add), "row int, counts binary").collect()  # SKETCH_ROWS rows at most
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in sums:
         total[row["row"] * width : (row["row"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
@@ -260,7 +260,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
             yield pa.RecordBatch.from_arrays(batch.columns[:4], batch.schema.names[:4]).filter(pa.array(room))
 
     columns = ["hub", "hub_size", "member", "member_size"]
-    return pairs.select(*columns, "hub_parity", "member_parity").mapInArrow(keep, "hub long, hub_size int, member long, member_size int")
+    return pairs.select(*columns, "hub_parity", "member_parity").mapInArrow(lean(keep), "hub long, hub_size int, member long, member_size int")
 
 
 def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int, den: int, name: str) -> DataFrame:
@@ -289,7 +289,7 @@ def _verify(texts: DataFrame, pairs: DataFrame, order: Order, n: int, num: int,
     segments = segments.join(wanted.hint("merge"), (F.col("id") == F.col("member")) & (F.col("size") == F.col("member_size")))
     segments = segments.select("hub", "member", "fragment", "keys").repartition("hub", "fragment")
     own_first = ["hub", "fragment", F.col("hub") != F.col("member"), "member"]
-    partial = segments.sortWithinPartitions(*own_first).mapInArrow(overlap, "hub long, member long, common long")
+    partial = segments.sortWithinPartitions(*own_first).mapInArrow(lean(overlap), "hub long, member long, common long")
     common = partial.groupBy("hub", "member").agg(F.sum("common").alias("common"))
     either = F.col("hub_size") + F.col("member_size") - F.col("common")
     linked = pairs.join(common, ["hub", "member"]).filter(F.col("common") * den >= either * num)
@@ -369,7 +369,7 @@ def _similar_groups(placed: DataFrame, classes: DataFrame, num: int, den: int) -
     # The tasks are stored, so their true size decides how they meet the parities.
     tasks = _tasks(units, "ngram-units").join(classes.select("rep", "size", "parity"), "rep")
     tasks = _by_task(tasks.select("group", "lo", "hi", "side", "rep", "component", "size", "parity"))
-    similar = materialize(tasks.mapInArrow(compare, "a long, b long"), "ngram-similar")
+    similar = materialize(tasks.mapInArrow(lean(compare), "a long, b long"), "ngram-similar")
     groups = connected_components(similar).select(F.col("component").alias("group"), F.col("node").alias("rep"))
     return placed.select("rep", "component").distinct().join(groups, "rep").select("group", "rep", "component")
 
@@ -395,7 +395,7 @@ def _compare_groups(texts: DataFrame, placed: DataFrame, classes: DataFrame, ord
     # The tasks are stored, so their true size decides how they meet the sets.
     sets = _sets(texts, tasks, "rep", order, n, order.cuts[:0])
     sets = sets.join(tasks, sets["id"] == tasks["rep"]).select("group", "lo", "hi", "side", "rep", "component", "keys")
-    return materialize(_by_task(sets).mapInArrow(compare, "a long, b long"), "ngram-links")
+    return materialize(_by_task(sets).mapInArrow(lean(compare), "a long, b long"), "ngram-links")
 
 
 def ngram_jaccard_join(

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PLACES = 24  # the bitmap of wanted keys has two to this power bits
+PLACES = 22  # the bitmap of wanted keys has two to this power bits
 IN_A_MAP = 15  # of which two to this power are in one value of bitmap_construct_agg
 PARITY_WORDS = 1024  # 64-bit words in the parity of a large set
 WORDS_AT_ONCE = 1 << 20  # words that are compared together

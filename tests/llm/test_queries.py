@@ -56,6 +56,28 @@ def test_near_copies_keep_one_of_a_group(spark, odd_docs):
     assert {0, 1, 2, 3} <= set(kept)
 
 
+def bytes_exchanged(plan):
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(bytes_exchanged(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_near_copies_move_only_what_may_go(spark, tmp_path):
+    rows = [(k, " ".join(f"w{k}x{at}" for at in range(2000))) for k in range(40)] + [(None, "no id")]
+    rows += [(50 + k, rows[k][1] + " end") for k in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # for one plan, and no small side
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        kept = corpus_pipeline.near_copies(spark, spark.read.parquet(str(tmp_path / "docs")), FOLDER)
+        assert {r.doc_id for r in kept.collect()} == {*range(40), None}
+        assert bytes_exchanged(kept._jdf.queryExecution().executedPlan()) < sum(len(text) for _, text in rows) / 5
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_the_pipeline_runs_through(spark):
     result = corpus_pipeline.run(spark, FOLDER)
     assert 0 < result.count() < read_table(spark, FOLDER, "documents").count() and "ids" in result.columns
